@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatloom.llm import mixing
+from seatloom.llm import mixing, secret_scan
 from seatloom.runtime import table
 
 
@@ -13,8 +13,13 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op8_mix_sources": op8_mix_sources,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLES = {
