@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatloom.llm import mixing, secret_scan
+from seatloom.llm import license_scan, mixing, secret_scan
 from seatloom.runtime import table
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -18,6 +22,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_license_scan": op7_license_scan,
     "op8_mix_sources": op8_mix_sources,
     "op9_secret_scan": op9_secret_scan,
 }
