@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatloom.llm import license_scan, mixing, secret_scan
+from seatloom.llm import license_scan, mixing, secret_scan, substring_dedup
 from seatloom.runtime import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_mix_sources": op8_mix_sources,
     "op9_secret_scan": op9_secret_scan,
