@@ -60,7 +60,7 @@ def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (1, 2, 3),
     cap: float = 3.0,
-    rows_per_range: int = 4000,
+    rows_per_range: int = 1000,
 ) -> DataFrame:
     """Documents -> doc_id, source, size, source_size, target, taken (words, repeats counted).
 
