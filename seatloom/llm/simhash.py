@@ -70,8 +70,8 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(sum(1 << i for i in np.flatnonzero(ones * 2 > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Documents -> doc_id, fp (the fingerprint's 64 bits as a long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *keys: str) -> DataFrame:
+    """Documents -> doc_id, fp (the fingerprint's 64 bits as a long) and further columns of longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,9 +79,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             out = np.zeros(len(texts), np.uint64)
             for i, text in enumerate(texts):
                 out[i] = fingerprint(shingle_hashes(text.as_py() or b"", shingle))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            more = [batch.column(2 + i) for i in range(len(keys))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64)), *more], ["doc_id", "fp", *keys])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", *keys).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keys)))
 
 
 class BkTree:
@@ -194,15 +195,21 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> D
     return groups.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
 
 
+def component_roots(prints: DataFrame, radius: int, leaf: int) -> DataFrame:
+    """Fingerprints (fp) -> l_fp, root: the least fingerprint of its component, a row for each distinct one."""
+    distinct = materialise(prints.select("fp").distinct(), "distinct-fingerprints")
+    linked = components(near_links(distinct, radius, leaf))
+    rooted = distinct.join(linked, F.col("fp") == F.col("node"), "left")
+    return materialise(rooted.select(F.col("fp").alias("l_fp"), F.coalesce("component", "fp").alias("root")), "roots")
+
+
 def clusters(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """Documents -> doc_id, fp, component_id (least doc_id of the component)."""
     prints = materialise(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    linked = components(near_links(distinct.select("fp"), radius, leaf))
-    rooted = distinct.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    rooted = materialise(rooted, "roots")
-    named = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    labels = materialise(rooted.join(named, "root").select(F.col("fp").alias("l_fp"), "component_id"), "labels")
+    roots = component_roots(prints, radius, leaf)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = materialise(roots.join(least, F.col("l_fp") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    labels = materialise(roots.join(named, "root").select("l_fp", "component_id"), "labels")
     return prints.join(labels, F.col("fp") == F.col("l_fp"), "left").select("doc_id", "fp", "component_id")
 
 
@@ -212,12 +219,21 @@ def digest(clustered: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
-    """Documents -> those with the least doc_id of their component (one row where rows repeat), all columns kept.
+    """Documents -> one row of each component, that of the least doc_id (null last); all columns stay.
 
-    A component of documents without doc_id keeps one row.
+    Rows are told apart by a hash of doc_id and text; rows alike in both are one document here.
     """
-    keep = materialise(
-        clusters(docs, shingle, radius, leaf).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct(), "kept"
-    )
-    rows = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows
+    key = F.xxhash64("doc_id", "text", F.lit(1))
+    prints = materialise(fingerprints(docs.withColumn("row_key", key), shingle, "row_key"), "fingerprints")
+    roots = component_roots(prints, radius, leaf)
+    rooted = prints.join(roots, F.col("fp") == F.col("l_fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_key"))
+    kept = materialise(rooted.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_key").alias("kept_key")), "kept")
+    dropped = materialise(prints.join(kept, F.col("row_key") == F.col("kept_key"), "left_anti").select(F.col("row_key").alias("gone_key")).distinct(), "dropped")
+    rows = docs.join(dropped, key == F.col("gone_key"), "left_anti")
+    # kept rows that repeat: only these few are dealt by key
+    twice = prints.join(kept, F.col("row_key") == F.col("kept_key"), "left_semi").groupBy("row_key").count().filter("count > 1")
+    twice = materialise(twice.select(F.col("row_key").alias("twice_key")), "repeated")
+    single = rows.join(twice, key == F.col("twice_key"), "left_anti")
+    repeated = rows.join(twice, key == F.col("twice_key"), "left_semi").withColumn("dedup_key", key).dropDuplicates(["dedup_key"]).drop("dedup_key")
+    return single.unionByName(repeated)
