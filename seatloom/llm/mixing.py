@@ -56,29 +56,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: float) -> Da
     return ranked.select("source", "source_size", F.least(share, F.col("limit")).alias("target"))
 
 
-def mix(
-    docs: DataFrame,
-    weights: tuple[int, ...] = (1, 2, 3),
-    cap: float = 3.0,
-    rows_per_range: int = 1000,
-) -> DataFrame:
-    """Documents -> doc_id, source, size, source_size, target, taken (words, repeats counted).
+def keyed(docs: DataFrame) -> DataFrame:
+    """Documents with ``m_source``, ``m_size`` and ``m_key``, the hash-random key."""
+    return docs.withColumns({"m_source": F.col("source"), "m_size": word_count(F.col("text")), "m_key": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))})
 
-    ``rows_per_range`` sets how many ranges the keys are cut into; it changes no result.
-    """
-    sized = materialise(
-        docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("key")
-        ),
-        "sizes",
-    )
-    n = sized.count()
-    digits = max(1, math.ceil(math.log(max(n, 1) / rows_per_range + 1, 16)))
-    ranged = sized.withColumn("range", F.substring("key", 1, digits))
-    ranges = materialise(ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size")), "ranges")
-    targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, cap)
 
-    # level one: for each range of a source, what comes before it and how many epochs all documents get
+def cuts_of(sized: DataFrame, digits: int, weights: tuple[int, ...], cap: float) -> DataFrame:
+    """For each range of each source: epochs that all its documents get, words left for it, whether the cut falls into it."""
+    ranges = sized.groupBy(F.col("m_source").alias("source"), F.substring("m_key", 1, digits).alias("range")).agg(F.sum("m_size").alias("range_size"))
+    ranges = materialise(ranges, "ranges")
+    targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), weights, cap)
     along = Window.partitionBy("source").orderBy("range")
     budget = F.floor(F.col("target")).cast("long")
     cuts = (
@@ -87,22 +74,59 @@ def mix(
         .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long"))
         .withColumn("rest", budget - F.col("epochs") * F.col("source_size") - F.col("before"))
         .select(
-            F.col("source").alias("c_source"), F.col("range").alias("c_range"), "source_size", "target", "epochs", "rest",
-            ((F.col("rest") > 0) & (F.col("rest") < F.col("range_size"))).alias("split"),
+            F.col("source").alias("c_source"), F.col("range").alias("c_range"), F.col("source_size").alias("c_size"), F.col("target").alias("c_target"),
+            F.col("epochs").alias("c_epochs"), F.col("rest").alias("c_rest"), ((F.col("rest") > 0) & (F.col("rest") < F.col("range_size"))).alias("c_split"),
         )
     )
-    placed = ranged.join(materialise(cuts, "cuts"), F.col("source").eqNullSafe(F.col("c_source")) & (F.col("range") == F.col("c_range")))
-
-    # level two: only the ranges in which a cut falls are sorted
-    inside = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("rest") - F.coalesce(F.sum("size").over(inside), F.lit(0))
-    cut = placed.filter("split").withColumn("part", F.greatest(F.lit(0), F.least(left, F.col("size"))))
-    whole = placed.filter("NOT split").withColumn("part", F.when(F.col("rest") > 0, F.col("size")).otherwise(0))
-    return cut.unionByName(whole).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken")
+    return materialise(cuts, "cuts")
+
+
+def taken_of(rows: DataFrame, cuts: DataFrame, digits: int) -> DataFrame:
+    """Keyed rows with ``m_taken`` and the columns of their cut; only ranges in which a cut falls are sorted."""
+    placed = rows.join(cuts, F.col("m_source").eqNullSafe(F.col("c_source")) & (F.substring("m_key", 1, digits) == F.col("c_range")))
+    inside = Window.partitionBy("m_source", "c_range").orderBy("m_key", "doc_id", "m_size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("c_rest") - F.coalesce(F.sum("m_size").over(inside), F.lit(0))
+    cut = placed.filter("c_split").withColumn("m_part", F.greatest(F.lit(0), F.least(left, F.col("m_size"))))
+    whole = placed.filter("NOT c_split").withColumn("m_part", F.when(F.col("c_rest") > 0, F.col("m_size")).otherwise(0))
+    return cut.unionByName(whole).withColumn("m_taken", (F.col("c_epochs") * F.col("m_size") + F.col("m_part")).cast("long"))
+
+
+def digits_for(rows: int, rows_per_range: int) -> int:
+    """Leading digits of the key that name a range of about so many rows."""
+    return max(1, math.ceil(math.log(max(rows, 1) / rows_per_range + 1, 16)))
+
+
+def mix(
+    docs: DataFrame,
+    weights: tuple[int, ...] = (1, 2, 3),
+    cap: float = 3.0,
+    rows_per_range: int = 1000,
+) -> DataFrame:
+    """Documents -> doc_id, source, size, source_size, target, taken (words, repeats counted).
+
+    ``rows_per_range`` sets how many ranges the keys are cut into; it changes no result.
+    """
+    sized = materialise(keyed(docs.select("doc_id", "source", "text")).drop("text"), "sizes")
+    digits = digits_for(sized.count(), rows_per_range)
+    out = taken_of(sized, cuts_of(sized, digits, weights, cap), digits)
+    return out.select(
+        "doc_id", "source", F.col("m_size").alias("size"), F.col("c_size").alias("source_size"), F.col("c_target").alias("target"), F.col("m_taken").alias("taken")
     )
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0, rows_per_range: int = 1000) -> DataFrame:
+    """The mix itself: documents of which words are taken, all columns, and ``size``, ``taken`` after them.
+
+    Texts stay where they are unless a cut falls into their range. Columns of the documents named size or taken give way.
+    """
+    columns = [c for c in docs.columns if c not in ("size", "taken")]
+    rows = keyed(docs.select(*columns))
+    sized = materialise(rows.select("m_source", "m_size", "m_key"), "sizes")
+    digits = digits_for(sized.count(), rows_per_range)
+    out = taken_of(rows, cuts_of(sized, digits, weights, cap), digits).filter("m_taken > 0")
+    return out.select(*columns, F.col("m_size").alias("size"), F.col("m_taken").alias("taken"))
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

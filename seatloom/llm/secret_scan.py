@@ -149,25 +149,17 @@ def false_discovery_exponent(exponents: DataFrame, rate: float) -> int:
     return cut
 
 
-def scan(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
-    """Documents -> their rows with ``base`` and ``spans``: arrays of struct<start,kind_no,stop>, in order.
+def plain(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["stop"].alias("stop")))
+
+
+def marked(rows: DataFrame, cut: int) -> DataFrame:
+    """Rows with ``base`` and ``candidates`` -> the same with ``base`` and ``spans`` for an exponent cut.
 
     Spans found by the battery are kept where they don't overlap a base span.
     """
-    costs = character_costs(docs)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = materialise(
-        docs.select(
-            "doc_id",
-            F.xxhash64(text).alias("text_hash"),
-            base_spans(text).alias("base"),
-            with_evidence(spans_of(text, CANDIDATE, "random"), costs).alias("candidates"),
-        ),
-        "secrets",
-    )
-    cut = false_discovery_exponent(found.select(F.explode("candidates.exponent").alias("exponent")), rate)
     # what isn't a discovery needs no battery
-    promising = found.withColumn("candidates", F.filter("candidates", lambda s: (s["exponent"] >= cut) & (F.char_length(s["value"]) > 1)))
+    promising = rows.withColumn("candidates", F.filter("candidates", lambda s: (s["exponent"] >= cut) & (F.char_length(s["value"]) > 1)))
     tested = promising.withColumn("tested", F.when(F.size("candidates") > 0, F.expr(BATTERY)))
 
     def kept(s: Column) -> Column:
@@ -175,11 +167,47 @@ def scan(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
         clear = ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
         return F.coalesce(passes, F.lit(False)) & clear
 
-    def plain(spans: Column) -> Column:
-        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["stop"].alias("stop")))
-
     added = F.coalesce(plain(F.filter("tested", kept)), F.array().cast("array<struct<start:int,kind_no:int,stop:int>>"))
-    return tested.select("doc_id", "text_hash", plain(F.col("base")).alias("base"), F.array_sort(F.concat(plain(F.col("base")), added)).alias("spans"))
+    spans = F.array_sort(F.concat(plain(F.col("base")), added))
+    return tested.withColumns({"base": plain(F.col("base")), "spans": spans}).drop("candidates", "tested")
+
+
+def found_in(text: Column, costs: tuple[float, float, float, float]) -> tuple[Column, Column]:
+    """Base spans and candidates of a text that isn't null."""
+    return base_spans(text).alias("base"), with_evidence(spans_of(text, CANDIDATE, "random"), costs).alias("candidates")
+
+
+def scan(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
+    """Documents -> doc_id, ``base`` and ``spans``: arrays of struct<start,kind_no,stop>, in order."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = materialise(docs.select("doc_id", *found_in(text, character_costs(docs))), "secrets")
+    return marked(found, false_discovery_exponent(found.select(F.explode("candidates.exponent").alias("exponent")), rate))
+
+
+def redact(docs: DataFrame, rate: float = FALSE_DISCOVERY, stand_in: str = "[secret]") -> DataFrame:
+    """Documents with every span replaced in ``text`` and ``n_chars`` counted anew, if there is such a column; no row is dropped.
+
+    Texts are scanned once for the corpus's statistics and once to be changed where they are, so no text is shuffled.
+    """
+    columns, costs = docs.columns, character_costs(docs)
+    evidence = docs.filter(F.col("text").rlike(CANDIDATE)).select(with_evidence(spans_of(F.col("text"), CANDIDATE, "random"), costs)["exponent"].alias("e"))
+    cut = false_discovery_exponent(evidence.select(F.explode("e").alias("exponent")), rate)
+    names = {c: f"doc_{i}" for i, c in enumerate(columns)}  # the operator's own columns can't clash with these
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], *found_in(text, costs))
+    body = F.col(names["text"])
+
+    def step(state: Column, span: Column) -> Column:
+        fresh = span["start"] >= state["at"]
+        between = F.when(fresh, F.concat(F.substring(body, state["at"] + 1, span["start"] - state["at"]), F.lit(stand_in))).otherwise("")
+        return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), F.concat(state["out"], between).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    cleaned = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.char_length(body))))
+    out = marked(rows, cut).withColumn(names["text"], F.when(F.size("spans") > 0, cleaned).otherwise(body))
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.when(F.size("spans") > 0, F.char_length(names["text"]).cast("long")).otherwise(F.col(names["n_chars"])))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def rendered(spans: Column) -> Column:
