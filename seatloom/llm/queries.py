@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seatloom.llm import license_scan, mixing, secret_scan, substring_dedup
+from seatloom.llm import decontaminate, html_extract, language_id, license_scan, mixing, secret_scan, simhash, substring_dedup, topk_search, url_filter
 from seatloom.runtime import table
 
 
@@ -12,6 +13,29 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup(table(spark, sf_dir, "documents")))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.clusters(table(spark, sf_dir, "documents")))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.filter(~held_out))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0)
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -25,13 +49,20 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
-    "op1_substring_dedup": op1_substring_dedup,
-    "op7_license_scan": op7_license_scan,
-    "op8_mix_sources": op8_mix_sources,
-    "op9_secret_scan": op9_secret_scan,
-}
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_simhash_near_dedup, op3_language_id, op4_topk_search, op5_decontaminate,
+        op6_url_filter, op7_license_scan, op8_mix_sources, op9_secret_scan, op10_html_extract,
+    )
+}
 
 ORACLES = {
+    "op4_topk_search": topk_search.ORACLE_SQL,
+    "op6_url_filter": url_filter.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
 }
