@@ -17,7 +17,7 @@ def odd(spark):
     """Nulls in any column, empty, blank and long texts, repeated rows and ids, clashing names."""
     passage = " ".join(f"w{i}" for i in range(30))
     rows = [
-        row(1, passage), row(2, f"lead {passage} tail"), row(2, f"lead {passage} tail"), row(3, None, None, None), row(4, ""), row(5, " \t\n "),
+        row(1, passage), row(2, f"lead {passage} tail"), row(2, f"lead {passage} tail"), row(3, None, None, None), row(4, ""), row(5, " \t\n\u00a0"),
         row(None, "null id text here", None, "b"), row(6, "same same same same " * 40), row(7, "é à ü \u0001 token=abc123xyz\n" * 3), row(8, "one", None, None),
         row(9, " ".join(f"long{i % 977}" for i in range(30_000)), "de", "b"), row(10, passage.upper(), "en", None), row(11, "***", "fr", "a"),
     ]
