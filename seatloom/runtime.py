@@ -28,6 +28,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these frames, once nothing reads it any more."""
+    for df in frames:
+        context = df.sparkSession.sparkContext
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/seatloom-" in folder:
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
