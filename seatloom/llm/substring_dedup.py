@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatloom.llm import words as W
-from seatloom.runtime import materialise
+from seatloom.runtime import discard, materialise
 
 WIDTH = 20
 SPAN = 8
@@ -155,7 +155,7 @@ def pieces(docs: DataFrame, repeated, branching, width: int, span: int, bits: in
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = BITS) -> DataFrame:
-    """Documents -> doc_id, start, n_edges of every piece that stands earlier in the corpus."""
+    """Documents -> s_doc_id, spans: the pieces (start, n_edges) of each document that stand earlier in the corpus; written out."""
     spark = docs.sparkSession
     by_anchor = materialise(
         anchors(docs, width, span)
@@ -173,7 +173,11 @@ def repeats(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = B
         found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").select("h1", "h2", "first"),
         "first-places",
     )
-    return found.join(first, ["h1", "h2"]).filter(F.col("first") < place).select("doc_id", "start", "n_edges")
+    later = found.join(first, ["h1", "h2"]).filter(F.col("first") < place)
+    # a document's own pieces, so a row is no longer than its document
+    spans = materialise(later.groupBy(F.col("doc_id").alias("s_doc_id")).agg(F.collect_list(F.struct("start", "n_edges")).alias("spans")), "spans")
+    discard(by_anchor, found, first)
+    return spans
 
 
 def covered(n_words: int, spans: list[tuple[int, int]], width: int) -> np.ndarray:
@@ -186,13 +190,23 @@ def covered(n_words: int, spans: list[tuple[int, int]], width: int) -> np.ndarra
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = BITS) -> DataFrame:
-    """Documents -> doc_id, n_words, n_removed, kept (the words that stay, joined by one space)."""
-    found = repeats(docs, width, span, bits)
-    # a document's own pieces, so a row is no longer than its document
-    spans = materialise(
-        found.groupBy(F.col("doc_id").alias("s_doc_id")).agg(F.collect_list(F.struct("start", "n_edges")).alias("spans")), "spans"
-    )
-    joined = docs.select("doc_id", "text").join(spans, F.col("doc_id").eqNullSafe(F.col("s_doc_id")), "left").select("doc_id", "text", "spans")
+    """Documents -> doc_id, n_words, n_removed, kept (the words that stay, joined by one space).
+
+    Only texts of documents with repeats meet their spans in a join; a bit set of fixed size tells them in place. A document
+    that falls into it by chance takes part in the join and finds no spans.
+    """
+    spans = repeats(docs, width, span, bits)
+    hashed = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("doc_id").isNull())
+    has = docs.sparkSession.sparkContext.broadcast(bit_set(spans.select(F.xxhash64(F.coalesce("s_doc_id", F.lit(-1)), F.col("s_doc_id").isNull()).alias("anchor")), bits))
+    rows = docs.select("doc_id", "text", hashed.alias("place"))
+
+    def part(repeating: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held = _holds(has.value, batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64), bits)
+                yield batch.filter(pa.array(held == repeating)).select(["doc_id", "text"])
+
+        return run
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +224,11 @@ def dedup(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = BIT
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    result = "doc_id long, n_words long, n_removed long, kept string"
+    repeating = rows.mapInArrow(part(True), "doc_id long, text string")
+    joined = repeating.join(spans, F.col("doc_id").eqNullSafe(F.col("s_doc_id")), "left").select("doc_id", "text", "spans")
+    clean = rows.mapInArrow(part(False), "doc_id long, text string").withColumn("spans", F.lit(None).cast("array<struct<start:int,n_edges:int>>"))
+    return joined.mapInArrow(run, result).unionByName(clean.mapInArrow(run, result))
 
 
 def digest(deduplicated: DataFrame) -> DataFrame:
