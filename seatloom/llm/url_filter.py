@@ -153,7 +153,7 @@ b AS (
 n AS (
   SELECT p.*, b.verdict, b.rule,
          regexp_replace(host, ':(80|443)$', '') || CASE WHEN path = '' THEN '/' ELSE path END
-           || coalesce('?' || nullif(array_to_string(list_filter(string_split(query, '&'), x -> x <> '' AND NOT regexp_matches(x, '^(utm_|fbclid=|gclid=)')), '&'), ''), '') AS node
+           || coalesce('?' || nullif(array_to_string(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_|fbclid=|gclid=)')), '&'), ''), '') AS node
   FROM p LEFT JOIN b USING (page_id)),
 c AS (SELECT node, min(verdict) AS decision FROM n WHERE rest IS NOT NULL AND verdict IS NOT NULL GROUP BY node)
 SELECT page_id, host, path, rule, coalesce(n.verdict, c.decision, 'allow') AS verdict
