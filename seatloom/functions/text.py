@@ -92,7 +92,7 @@ def aliases(text: Column) -> Column:
 
 def listed(text: Column) -> Column:
     """Comma list -> trimmed parts, blanks dropped."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def name_variations(name: Column) -> Column:

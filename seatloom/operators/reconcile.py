@@ -2,46 +2,57 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RESULT = "term string, boss_id long, class_id string, professor_id string, action string"
 
 
-def _group(key: tuple, existing: pd.DataFrame, incoming: pd.DataFrame) -> pd.DataFrame:
-    """In incoming order: an unused class of the same professor, else an unused class without professor, else any unused class, else a new one."""
-    none = lambda x: None if pd.isna(x) else x
-    term, boss_id = key
-    classes = [(c, none(p)) for c, p in existing.sort_values("class_id")[["class_id", "professor_id"]].itertuples(index=False)]
+def fold(classes: list[tuple[str, str | None]], asked: list[str | None]) -> list[tuple[str | None, str | None, str]]:
+    """(class, professor) pairs by class id, and professors in incoming order -> (class, professor, action).
+
+    For each professor: an unused class of their own, else an unused class without professor, else any unused class, else a
+    new one. Classes left over lose their professor.
+    """
+    held = dict(classes)
     exact = {p: c for c, p in classes if p is not None}  # of several the last
-    asked = list(dict.fromkeys(none(p) for p in incoming.sort_values("position")["i_professor_id"]))
-    asked = [p for p in asked if p is not None] or [None]
+    asked = [p for p in dict.fromkeys(asked) if p is not None] or [None]
     used: set[str] = set()
     out = []
     for p in asked:
-        held = dict(classes)
-        if p is not None and exact.get(p) is not None and exact[p] not in used:
-            chosen = exact[p]
-        else:
-            free = [c for c, q in classes if c not in used]
+        chosen = exact.get(p)
+        if chosen is None or chosen in used:
+            free = [c for c, _ in classes if c not in used]
             chosen = next((c for c in free if held[c] is None), free[0] if free else None)
         if chosen is None:
             out.append((None, p, "create"))
         else:
             used.add(chosen)
             out.append((chosen, p, "keep" if held[chosen] == p else "update"))
-    out += [(c, None, "deactivate") for c, p in classes if c not in used and p is not None]
-    return pd.DataFrame([(term, boss_id, *r) for r in out], columns=["term", "boss_id", "class_id", "professor_id", "action"])
+    return out + [(c, None, "deactivate") for c, p in classes if c not in used and p is not None]
 
 
 def reconcile(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing (term, boss_id, class_id, professor_id) and incoming (term, boss_id, position, professor_id) -> actions.
 
     Groups without incoming rows are left alone. An earlier professor without a class of their own can take one that a
-    later professor holds. A group is one class section, a handful of rows.
+    later professor holds. A group is one class section, a handful of rows; it travels as one row with two short arrays.
     """
-    asked = incoming.select("term", "boss_id").distinct()
-    old = existing.join(asked, ["term", "boss_id"], "left_semi")
-    new = incoming.select(F.col("term").alias("i_term"), F.col("boss_id").alias("i_boss_id"), "position", F.col("professor_id").alias("i_professor_id"))
-    return old.groupBy("term", "boss_id").cogroup(new.groupBy("i_term", "i_boss_id")).applyInPandas(_group, RESULT)
+    old = existing.groupBy(F.col("term").alias("e_term"), F.col("boss_id").alias("e_boss_id")).agg(F.array_sort(F.collect_list(F.struct("class_id", "professor_id"))).alias("classes"))
+    new = incoming.groupBy("term", "boss_id").agg(F.array_sort(F.collect_list(F.struct("position", "professor_id"))).alias("asked"))
+    groups = new.join(old, (F.col("term") == F.col("e_term")) & (F.col("boss_id") == F.col("e_boss_id")), "left").select("term", "boss_id", "classes", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for term, boss_id, classes, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = fold([(c["class_id"], c["professor_id"]) for c in classes or []], [a["professor_id"] for a in asked])
+                rows += [(term, boss_id, *r) for r in found]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["term", "boss_id", "class_id", "professor_id", "action"])
+
+    return groups.mapInArrow(run, RESULT)

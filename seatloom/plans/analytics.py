@@ -11,8 +11,6 @@ from seatloom.operators import tables as op
 from seatloom.plans.registry import query
 from seatloom.runtime import table
 
-ZERO = F.lit(0.0)
-
 
 def r6(c: Column) -> Column:
     return F.round(c, 6)
@@ -44,14 +42,14 @@ def window_participation(spark: SparkSession, sf: str) -> DataFrame:
 WITH s AS (SELECT year(o_orderdate)::BIGINT AS year, quarter(o_orderdate)::BIGINT AS quarter, median(o_totalprice) AS med, avg(o_totalprice) AS mean,
            stddev_samp(o_totalprice) AS sd, count(*) AS n FROM orders WHERE o_totalprice > 0 GROUP BY ALL),
 l AS (SELECT *, lag(med) OVER (ORDER BY year, quarter) AS before FROM s)
-SELECT year, quarter, round(med, 6) AS med, round(mean, 4) AS mean, round(sd, 4) AS sd, n,
+SELECT year, quarter, round(med, 6) AS med, round(mean, 7) AS mean, round(sd, 4) AS sd, n,
        round(CASE WHEN before > 0 THEN (med - before) / before * 100 ELSE 0 END, 6) AS change FROM l""")
 def semester_stats(spark: SparkSession, sf: str) -> DataFrame:
     s = orders(spark, sf).filter("o_totalprice > 0").groupBy("year", "quarter").agg(
         F.median("o_totalprice").alias("med"), F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("sd"), F.count("*").alias("n")
     )
     before = F.lag("med").over(Window.orderBy("year", "quarter"))  # a row a term
-    return s.withColumn("before", before).select("year", "quarter", r6(F.col("med")).alias("med"), F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"), "n",
+    return s.withColumn("before", before).select("year", "quarter", r6(F.col("med")).alias("med"), F.round("mean", 7).alias("mean"), F.round("sd", 4).alias("sd"), "n",
                                                  r6(T.percent_change(F.col("med"), F.col("before"))).alias("change"))
 
 
@@ -81,12 +79,12 @@ def round_window_inflation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT o_custkey, year(o_orderdate)::BIGINT AS year, avg(o_totalprice) AS mean FROM orders GROUP BY ALL)
-SELECT a.o_custkey, a.year, round(a.mean, 4) AS mean, round((a.mean - b.mean) / b.mean * 100, 4) AS change
+SELECT a.o_custkey, a.year, round(a.mean, 7) AS mean, round((a.mean - b.mean) / b.mean * 100, 4) AS change
 FROM s a JOIN s b ON a.o_custkey = b.o_custkey AND a.year = b.year + 1 WHERE b.mean > 0 ORDER BY change DESC, a.o_custkey, a.year LIMIT 5""")
 def yoy_top5(spark: SparkSession, sf: str) -> DataFrame:
     s = orders(spark, sf).groupBy("o_custkey", "year").agg(F.avg("o_totalprice").alias("mean"))
     before = s.select("o_custkey", (F.col("year") + 1).alias("year"), F.col("mean").alias("before")).filter("before > 0")
-    j = s.join(before, ["o_custkey", "year"]).select("o_custkey", "year", F.round("mean", 4).alias("mean"), F.round((F.col("mean") - F.col("before")) / F.col("before") * 100, 4).alias("change"))
+    j = s.join(before, ["o_custkey", "year"]).select("o_custkey", "year", F.round("mean", 7).alias("mean"), F.round((F.col("mean") - F.col("before")) / F.col("before") * 100, 4).alias("change"))
     return j.orderBy(F.desc("change"), "o_custkey", "year").limit(5)
 
 

@@ -162,13 +162,13 @@ def bid_strategy(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH m AS (SELECT min(o_totalprice) AS a, max(o_totalprice) AS b FROM orders), g AS (SELECT o_orderpriority AS k, avg(o_totalprice) AS mean FROM orders GROUP BY ALL), c AS (SELECT k, (row_number() OVER (ORDER BY k) - 1)::INTEGER AS code, mean FROM g)
-SELECT o_orderkey, round((o_totalprice - a) / (b - a), 6) AS scaled, code, round(mean, 4) AS mean FROM orders JOIN c ON o_orderpriority = k, m""")
+SELECT o_orderkey, round((o_totalprice - a) / (b - a), 6) AS scaled, code, round(mean, 7) AS mean FROM orders JOIN c ON o_orderpriority = k, m""")
 def scalers_encoders(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     bounds = o.agg(F.min("o_totalprice").alias("a"), F.max("o_totalprice").alias("b"))
     c = o.groupBy(F.col("o_orderpriority").alias("k")).agg(F.avg("o_totalprice").alias("mean")).withColumn("code", F.row_number().over(Window.orderBy("k")) - 1)
     j = o.join(c, F.col("o_orderpriority") == F.col("k")).crossJoin(F.broadcast(bounds))  # one row
-    return j.select("o_orderkey", r6(F.try_divide(F.col("o_totalprice") - F.col("a"), F.col("b") - F.col("a"))).alias("scaled"), "code", F.round("mean", 4).alias("mean"))
+    return j.select("o_orderkey", r6(F.try_divide(F.col("o_totalprice") - F.col("a"), F.col("b") - F.col("a"))).alias("scaled"), "code", F.round("mean", 7).alias("mean"))
 
 
 @query("""
