@@ -22,6 +22,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +51,28 @@ def tokens(text: str | None) -> list[str]:
     return _LETTERS.findall((text or "").lower())
 
 
+class Buckets(dict):
+    """Feature -> bucket; keeps those asked for, which for affixes and n-grams are few, up to a bound."""
+
+    def __missing__(self, feature: str) -> int:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        bucket = self[feature] = zlib.crc32(feature.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
+        return bucket
+
+
+_BUCKETS = Buckets()
+
+
 def features(word: str) -> list[int]:
-    """Hashed features of a word: itself, affixes up to 4 characters, n-grams of 1 to 3 characters."""
+    """Hashed features of a word: itself, affixes up to 4 characters, n-grams of 1 to 3 characters; always in one order."""
     inner = word if len(word) <= LONG_WORD else word[: LONG_WORD // 2] + " " + word[-LONG_WORD // 2 :]
-    fenced = f"<{inner}>"
-    found = {f"w{word}"}
-    found.update(f"p{word[:n]}" for n in range(1, min(4, len(word)) + 1))
-    found.update(f"s{word[-n:]}" for n in range(1, min(4, len(word)) + 1))
+    fenced, top = f"<{inner}>", min(4, len(word)) + 1
+    found = ["p" + word[:n] for n in range(1, top)] + ["s" + word[-n:] for n in range(1, top)]
     for n in (1, 2, 3):
-        found.update(f"g{fenced[i : i + n]}" for i in range(len(fenced) - n + 1))
-    return [zlib.crc32(f.encode("utf-8", "surrogatepass")) & (BUCKETS - 1) for f in found]
+        found += ["g" + fenced[i : i + n] for i in range(len(fenced) - n + 1)]
+    known = _BUCKETS
+    return [zlib.crc32(b"w" + word.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)] + [known[f] for f in dict.fromkeys(found)]
 
 
 @dataclass
@@ -255,7 +268,7 @@ class Labeller:
             part = new[a : a + 4096]
             rows = [self.model.rows(w) for w in part]
             heads = np.cumsum([0] + [len(r) for r in rows[:-1]])
-            sums = np.add.reduceat(self.model.weights[np.concatenate([np.array(r) for r in rows])], heads, axis=0)
+            sums = np.add.reduceat(self.model.weights[np.fromiter(chain.from_iterable(rows), np.int64)], heads, axis=0)
             at, stop = len(known), len(known) + len(part)
             while stop > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
