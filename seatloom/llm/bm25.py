@@ -74,8 +74,8 @@ def exact_scores(lists: list[Postings], wanted: np.ndarray) -> tuple[np.ndarray,
     return unique, scores
 
 
-def top_k(lists: list[Postings], n_docs: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Block-max WAND: the k best documents, ties by the smaller number.
+def top_k(lists: list[Postings], n_docs: int, k: int, floor: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Block-max WAND: the k best documents, ties by the smaller number; documents below ``floor`` may be left out.
 
     Blocks are visited from the largest upper bound down, doubling the number each time; once k documents
     are known, the search ends at the first block whose bound is below the k-th score.
@@ -84,7 +84,7 @@ def top_k(lists: list[Postings], n_docs: int, k: int) -> tuple[np.ndarray, np.nd
     bound = upper_bounds(lists, n_blocks)
     order = np.argsort(-bound, kind="stable")
     order = order[bound[order] > 0]
-    best_docs, best, at, step, floor = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, max(4, k // 4), 0
+    best_docs, best, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, max(4, k // 4)
     while at < len(order):
         pivot = order[at : at + step]
         pivot = pivot[bound[pivot] >= floor]  # an equal score can still win its tie
@@ -96,7 +96,7 @@ def top_k(lists: list[Postings], n_docs: int, k: int) -> tuple[np.ndarray, np.nd
         docs, scores = np.concatenate([best_docs, docs]), np.concatenate([best, scores])
         first = np.lexsort((docs, -scores))[:k]
         best_docs, best = docs[first], scores[first]
-        floor = best[-1] if len(best) == k else 0
+        floor = max(floor, best[-1]) if len(best) == k else floor
         at, step = at + step, step * 2
     return best_docs, best
 
