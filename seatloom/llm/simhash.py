@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatloom.llm import words as W
@@ -218,14 +218,23 @@ def digest(clustered: DataFrame) -> DataFrame:
     return clustered.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def row_key() -> Column:
+    """Tells rows apart; rows alike in doc_id and text are one document where it is used."""
+    return F.xxhash64("doc_id", "text", F.lit(1))
+
+
 def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
     """Documents -> one row of each component, that of the least doc_id (null last); all columns stay.
 
     Rows are told apart by a hash of doc_id and text; rows alike in both are one document here.
     """
-    key = F.xxhash64("doc_id", "text", F.lit(1))
-    prints = materialise(fingerprints(docs.withColumn("row_key", key), shingle, "row_key"), "fingerprints")
-    roots = component_roots(prints, radius, leaf)
+    prints = materialise(fingerprints(docs.withColumn("row_key", row_key()), shingle, "row_key"), "fingerprints")
+    return keep_first(docs, prints, component_roots(prints, radius, leaf))
+
+
+def keep_first(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """Documents, their prints (doc_id, fp, row_key) and components (l_fp, root) -> the row of least doc_id of each component."""
+    key = row_key()
     rooted = prints.join(roots, F.col("fp") == F.col("l_fp"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_key"))
     kept = materialise(rooted.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_key").alias("kept_key")), "kept")
