@@ -55,6 +55,22 @@ def test_topk_odd(spark, odd):
     assert found == {1, 2, 5, 6, 7, 8, 9, 10}  # a no-break space is a term
 
 
+def test_topk_repeated_query_asks_each_term_once(spark):
+    text = " ".join(f"t{i:02}" for i in range(40))
+    rows = [(1, text), (1, text)] + [(100 + i, f"t{i:02} filler") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in topk_search.search(docs, F.col("doc_id") == 1, k=50).collect()}
+    assert got == brute_topk(rows, lambda d: d == 1, k=50)
+    assert len(got) == 18
+
+
+@pytest.mark.parametrize("bucket", [32_768, 1])
+def test_topk_of_whole_queries(real, bucket):
+    rows = [(r.doc_id, r.text) for r in real.collect()]
+    got = {tuple(r) for r in topk_search.search(real, F.col("doc_id") % 50 == 0, terms=None, bucket=bucket).collect()}
+    assert got == brute_topk(rows, lambda d: d % 50 == 0, m=1 << 40)
+
+
 def test_block_max_pruning_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(50):
