@@ -1,17 +1,18 @@
 """License scans, with DataFrame functions only.
 
 Base: places where the words of a fixed phrase stand consecutively. The method adds labels by an exact
-set-similarity join of text blocks (lines) with license templates: a block meets a template when it
-holds at least ``threshold`` of the template's distinct words. Words are ordered by how many blocks of
+set-similarity join of text blocks with license templates: a block meets a template when it holds at least
+``threshold`` of the template's distinct words. Blocks are the lines and, as notices are wrapped, all runs of as many
+words as the template has, wherever lines end. Blocks are filtered by whole texts first: words are ordered by how many texts of
 the corpus hold them, rarest first. A template of size s needs need = ceil(threshold * s) common words,
-so a matching block must hold one of its first s - need + 1 words (prefix filter), must have at least
+so a text with a matching block must hold one of its first s - need + 1 words (prefix filter), must have at least
 ``need`` distinct words that any template has (length filter), and from the place of its first common
 word on at least ``need`` words of the template must be left (positional filter). What remains is
-verified exactly.
+verified exactly, block by block.
 
 Templates are parameters of the operator, not data, so the prefix index they form is small by
-construction and is sent along with the join. Texts are cut into words once; blocks travel as their
-words known to some template, and no text is shuffled.
+construction and is sent along with the join. Texts travel as their words known to some template, and
+these words' places where they are enough for one; no text is shuffled.
 
 Defined cases: a null text is empty (n_words 0, no labels, score 0); rows that repeat are separate
 documents; a null doc_id is kept; empty input gives empty output; other columns are ignored.
@@ -87,14 +88,39 @@ def word_sets(templates: dict[str, str]) -> dict[str, list[str]]:
     return {k: sorted(set(gap.split(v.translate(low))) - {""}) for k, v in templates.items()}
 
 
+def fullest(own: Column, length: Column) -> Column:
+    """Most distinct words of a template in one line or one window of ``length`` words; ``own``: its words' places in the text."""
+    n = F.size(own)
+    every = F.sequence(F.lit(0), n - 1)
+    windows = F.transform(
+        every,
+        # a window holds no more of these places than words
+        lambda i: F.size(F.array_distinct(F.filter(F.slice(own, i + 1, length), lambda p: p["at"] < F.get(own, i)["at"] + length)["word"])),
+    )
+    firsts = F.filter(every, lambda i: (i == 0) | (F.get(own, i)["line"] != F.get(own, i - 1)["line"]))
+    ends = F.concat(F.slice(firsts, 2, n), F.array(n))
+    lines = F.zip_with(firsts, ends, lambda i, j: F.size(F.array_distinct(F.slice(own, i + 1, j - i)["word"])))
+    return F.greatest(F.array_max(windows), F.array_max(lines))
+
+
 def similar_blocks(texts: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """doc_id, text_hash, template, containment for every line and template that meet the threshold."""
+    """doc_id, text_hash, template, containment for every text and template of which some block meets the threshold."""
     sets = word_sets(templates)
     needs = {k: math.ceil(threshold * len(ws) - 1e-9) for k, ws in sets.items()}
+    lengths = {k: len(re.findall(WORD, v.translate(str.maketrans(UPPER, LOWER)))) for k, v in templates.items()}
     vocabulary = sorted({w for ws in sets.values() for w in ws})
-    known = F.array_intersect(F.split("line", GAP), F.array(*[F.lit(w) for w in vocabulary]))
-    lines = texts.select("doc_id", "text_hash", F.explode(F.split("low", r"\n")).alias("line"))
-    blocks = materialise(lines.select("doc_id", "text_hash", known.alias("known")).filter(F.size("known") > 0), "blocks")
+    listed = F.array(*[F.lit(w) for w in vocabulary])
+    hopeful = F.lit(False)
+    for name, ws in sets.items():
+        hopeful = hopeful | (F.size(F.array_intersect("known", F.array(*[F.lit(w) for w in ws]))) >= needs[name])
+    by_line = F.flatten(F.transform(F.split("low", r"\n"), lambda line, n: F.transform(words_of(line), lambda w: F.struct(n.alias("line"), w.alias("word")))))
+    placed = F.transform(by_line, lambda p, i: F.struct(i.alias("at"), p["line"].alias("line"), p["word"].alias("word")))
+    blocks = (
+        texts.withColumn("known", F.array_intersect(F.split("low", GAP), listed))
+        # few texts hold enough of a template anywhere
+        .select("doc_id", "text_hash", "known", F.when(hopeful, F.filter(placed, lambda p: F.array_contains(listed, p["word"]))).alias("places"))
+    )
+    blocks = materialise(blocks, "blocks")
 
     counts = blocks.select(F.explode("known").alias("word")).groupBy("word").count()
     frequency = {r["word"]: r["count"] for r in counts.collect()}  # at most the templates' own words
@@ -102,20 +128,22 @@ def similar_blocks(texts: DataFrame, templates: dict[str, str], threshold: float
     index = []
     for name, ws in sets.items():
         ordered = sorted(ws, key=rank.get)
-        index += [(w, name, ordered, needs[name], place) for place, w in enumerate(ordered[: len(ws) - needs[name] + 1])]
-    prefix = texts.sparkSession.createDataFrame(index, "word string, template string, words array<string>, need int, place int")
+        index += [(w, name, ordered, needs[name], lengths[name], place) for place, w in enumerate(ordered[: len(ws) - needs[name] + 1])]
+    prefix = texts.sparkSession.createDataFrame(index, "word string, template string, words array<string>, need int, length int, place int")
     probes = F.array(*[F.lit(w) for w in sorted({row[0] for row in index})])
 
-    return (
-        blocks.filter(F.size("known") >= min(needs.values()))
+    candidates = (
+        blocks.filter(F.col("places").isNotNull() & (F.size("known") >= min(needs.values())))
         .withColumn("word", F.explode(F.array_intersect("known", probes)))
         .join(F.broadcast(prefix), "word")
         .filter((F.size("known") >= F.col("need")) & (F.size("words") - F.col("place") >= F.col("need")))
         .withColumn("common", F.array_intersect("words", "known"))
         # each pair counts once, at its first common word in the global order
         .filter((F.size("common") >= F.col("need")) & (F.get("common", F.lit(0)) == F.col("word")))
-        .select("doc_id", "text_hash", "template", (F.size("common") / F.size("words")).alias("containment"))
+        .select("doc_id", "text_hash", "template", "words", "need", "length", F.filter("places", lambda p: F.array_contains("words", p["word"])).alias("own"))
     )
+    held = materialise(candidates, "candidates").select("doc_id", "text_hash", "template", "need", "words", fullest(F.col("own"), F.col("length")).alias("most"))
+    return held.filter("most >= need").select("doc_id", "text_hash", "template", (F.col("most") / F.size("words")).alias("containment"))
 
 
 def scan(

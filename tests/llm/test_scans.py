@@ -51,6 +51,20 @@ def test_license_scan(spark, odd, none, real):
     assert license_scan.scan(none).count() == 0
 
 
+def test_license_scan_of_wrapped_notices(spark):
+    rows = [
+        (1, "lead words\n# Permission is hereby granted, free of charge, to any person obtaining\n# a copy of this software and associated documentation files\n# more"),
+        (2, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided"),
+        (3, "/* Licensed under the Apache\n *\n * License, Version 2.0 */"),
+        (4, "Redistribution and use in source " + "filler " * 40 + "\nand binary forms, with or without modification, are permitted"[:30]),
+        (5, "modification are permitted\nredistribution and use in source and binary\n\nforms with or without"), (6, "Released under\nthe MIT\nLicense"),
+        (7, "the of to in and or with is this any under " * 2000),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan(docs).collect()}
+    assert got == {1: "mit-grant", 2: "bsd", 3: "apache-2.0", 4: "", 5: "bsd", 6: "mit", 7: ""}
+
+
 def brute_base(text):
     text = text or ""
     spans = []
