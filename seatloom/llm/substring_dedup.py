@@ -12,15 +12,15 @@ anything is shuffled:
   paths stay whole. An anchor with different paths is where the graph branches: its paths are opened
   into single edges.
 * Second pass: the pieces that remain, compacted paths or single edges, are joined on their 128-bit
-  hashes with their first occurrence. All others are repeats; their source coordinates (doc_id, word
-  position) give the words to remove.
+  hashes with their first occurrence. All others are repeats; their source coordinates (doc_id, hash of
+  the text, word position) give the words to remove.
 
 The two anchor sets go to the second pass as bit sets of a fixed size. They save work only: an anchor that falls
 into a set by chance makes a path be shuffled or opened for nothing and changes no result.
 
 Defined cases: a null text has no words; a document of fewer than ``width`` words loses none; rows with
-equal doc_id and equal place are not earlier than each other; a null doc_id is before all others; empty
-input gives empty output; other columns are ignored.
+equal doc_id and equal place are not earlier than each other; a null doc_id is before all others; rows of one doc_id, or of
+none, with different texts lose their own repeats alone; empty input gives empty output; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatloom.llm import words as W
@@ -123,13 +123,18 @@ def bit_set(kept: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def text_key() -> Column:
+    """With doc_id, tells rows apart."""
+    return F.xxhash64("text").alias("text_key")
+
+
 def pieces(docs: DataFrame, repeated, branching, width: int, span: int, bits: int) -> DataFrame:
-    """Second pass: compacted paths and single edges that may repeat: h1, h2, doc_id, start, n_edges."""
+    """Second pass: compacted paths and single edges that may repeat: h1, h2, doc_id, text_key, start, n_edges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, open_ = repeated.value, branching.value
         for batch in batches:
-            ids = batch.column(0)
+            ids, keys = batch.column(0), batch.column(2)
             texts = batch.column(1).cast(pa.binary())
             for a, b in W.slices(texts):
                 text, place, count, anchor, start, one, two = paths_of(texts.slice(a, b - a).to_pylist(), width, span)
@@ -146,16 +151,17 @@ def pieces(docs: DataFrame, repeated, branching, width: int, span: int, bits: in
                 number = np.concatenate([text[whole], np.repeat(text[branch], sizes)])
                 at = np.concatenate([place[whole], np.repeat(place[branch], sizes) + step])
                 edges = np.concatenate([count[whole], np.ones(len(edge), np.int64)])
+                row = pa.array(a + number)
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(h1), _signed(h2), ids.take(pa.array(a + number)), pa.array(at.astype(np.int32)), pa.array(edges.astype(np.int32))],
-                    ["h1", "h2", "doc_id", "start", "n_edges"],
+                    [_signed(h1), _signed(h2), ids.take(row), keys.take(row), pa.array(at.astype(np.int32)), pa.array(edges.astype(np.int32))],
+                    ["h1", "h2", "doc_id", "text_key", "start", "n_edges"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "h1 long, h2 long, doc_id long, start int, n_edges int")
+    return docs.select("doc_id", "text", text_key()).mapInArrow(run, "h1 long, h2 long, doc_id long, text_key long, start int, n_edges int")
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = BITS) -> DataFrame:
-    """Documents -> s_doc_id, spans: the pieces (start, n_edges) of each document that stand earlier in the corpus; written out."""
+    """Documents -> s_doc_id, s_key, spans: the pieces (start, n_edges) of each row that stand earlier in the corpus; written out."""
     spark = docs.sparkSession
     by_anchor = materialise(
         anchors(docs, width, span)
@@ -174,8 +180,8 @@ def repeats(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = B
         "first-places",
     )
     later = found.join(first, ["h1", "h2"]).filter(F.col("first") < place)
-    # a document's own pieces, so a row is no longer than its document
-    spans = materialise(later.groupBy(F.col("doc_id").alias("s_doc_id")).agg(F.collect_list(F.struct("start", "n_edges")).alias("spans")), "spans")
+    # a text's own pieces, each once though rows repeat, so a row is no longer than its document
+    spans = materialise(later.groupBy(F.col("doc_id").alias("s_doc_id"), F.col("text_key").alias("s_key")).agg(F.collect_set(F.struct("start", "n_edges")).alias("spans")), "spans")
     discard(by_anchor, found, first)
     return spans
 
@@ -196,8 +202,8 @@ def dedup(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = BIT
     that falls into it by chance takes part in the join and finds no spans.
     """
     spans = repeats(docs, width, span, bits)
-    hashed = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("doc_id").isNull())
-    has = docs.sparkSession.sparkContext.broadcast(bit_set(spans.select(F.xxhash64(F.coalesce("s_doc_id", F.lit(-1)), F.col("s_doc_id").isNull()).alias("anchor")), bits))
+    hashed = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("doc_id").isNull(), F.xxhash64("text"))
+    has = docs.sparkSession.sparkContext.broadcast(bit_set(spans.select(F.xxhash64(F.coalesce("s_doc_id", F.lit(-1)), F.col("s_doc_id").isNull(), F.col("s_key")).alias("anchor")), bits))
     rows = docs.select("doc_id", "text", hashed.alias("place"))
 
     def part(repeating: bool):
@@ -226,7 +232,7 @@ def dedup(docs: DataFrame, width: int = WIDTH, span: int = SPAN, bits: int = BIT
 
     result = "doc_id long, n_words long, n_removed long, kept string"
     repeating = rows.mapInArrow(part(True), "doc_id long, text string")
-    joined = repeating.join(spans, F.col("doc_id").eqNullSafe(F.col("s_doc_id")), "left").select("doc_id", "text", "spans")
+    joined = repeating.join(spans, F.col("doc_id").eqNullSafe(F.col("s_doc_id")) & (F.xxhash64("text") == F.col("s_key")), "left").select("doc_id", "text", "spans")
     clean = rows.mapInArrow(part(False), "doc_id long, text string").withColumn("spans", F.lit(None).cast("array<struct<start:int,n_edges:int>>"))
     return joined.mapInArrow(run, result).unionByName(clean.mapInArrow(run, result))
 

@@ -51,6 +51,14 @@ def test_substring_dedup_periodic_and_branching(spark):
     assert Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs)).collect()) == brute_substrings(rows)
 
 
+def test_substring_dedup_rows_of_one_id(spark):
+    passage = " ".join(f"r{i}" for i in range(30))
+    long = " ".join(f"u{i}" for i in range(200)) + f" {passage} and {passage}"
+    rows = [(None, long), (None, "short text of null id"), (None, " ".join(f"v{i}" for i in range(240))), (3, f"{passage} x"), (3, "tiny"), (3, f"lead {passage}"), (3, f"lead {passage}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs)).collect()) == brute_substrings(rows)
+
+
 def brute_print(text):
     parts = (text or "").translate(LOW).encode().split()
     if not parts:
