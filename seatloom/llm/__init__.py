@@ -1,8 +1 @@
 """Operators of a training-data pipeline. Nothing else in the library imports this subpackage."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Worker functions travel by value, so executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

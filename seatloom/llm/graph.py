@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.runtime import materialise
+from seatloom.runtime import discard, materialise
 
 
 def _least_neighbour(edges: DataFrame) -> DataFrame:
@@ -14,10 +14,6 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return materialise(least, "least")
 
 
-def _star(directed: DataFrame) -> DataFrame:
-    return directed.join(_least_neighbour(directed), F.col("u") == F.col("node"))
-
-
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Undirected edges -> node, component (the least node of its component), for all nodes of some edge.
 
@@ -33,12 +29,16 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     while True:
         # large star: larger neighbours of a node move to its least neighbour
         both = materialise(current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
-        larger = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = _least_neighbour(both)
+        larger = both.join(near, F.col("u") == F.col("node")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         larger = materialise(larger.filter("u != v").distinct(), "large-star")
+        discard(current, both, near)
         # small star: a node and its smaller neighbours move to the least of them
-        starred = _star(larger)
+        near = _least_neighbour(larger)
+        starred = larger.join(near, F.col("u") == F.col("node"))
         smaller = starred.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         current = materialise(smaller, "small-star")
+        discard(larger, near)
         new = current.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if new == state:
             break

@@ -72,6 +72,12 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def joined(self) -> tuple[bytes, np.ndarray]:
+        """All words joined by one space, and each word's place there; words i to j - 1 of a text are ``bytes[place[i] : place[j] - 1]``."""
+        place = np.zeros(len(self) + 1, np.int64)
+        np.cumsum(self.end - self.start + 1, out=place[1:])
+        return b" ".join(self.data.split()), place
+
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word's bytes."""
         if not len(self):

@@ -1,11 +1,14 @@
 """Substring dedup and SimHash near-dedup against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from seatloom.llm import graph, simhash, substring_dedup
 
@@ -39,16 +42,30 @@ def brute_substrings(rows, width=20):
 def test_substring_dedup(spark, odd, none, real):
     for docs in (odd, real):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
-        got = Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs)).collect())
-        assert got == brute_substrings(rows)
-    assert substring_dedup.dedup(none).count() == 0
+        for max_bits in (substring_dedup.MAX_BITS, 0):  # by bit sets, by joins
+            got = Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs, max_bits=max_bits)).collect())
+            assert got == brute_substrings(rows)
+    assert substring_dedup.dedup(none).count() == 0 and substring_dedup.dedup(none, max_bits=0).count() == 0
+
+
+def test_free_paths_are_compacted(spark):
+    """A passage that stands in several texts is a few pieces, not one a path; a full bit set only adds pieces."""
+    passage = " ".join(f"p{i}" for i in range(2000))
+    docs = spark.createDataFrame([(i, f"a{i} b{i} {passage} c{i} d{i}") for i in range(4)] + [(9, " ".join(f"q{i}" for i in range(3000)))], "doc_id long, text string")
+    rows = docs.select("doc_id", "text", substring_dedup.text_key())
+    by_anchor = substring_dedup.anchors(docs, 20, 8)
+    few = substring_dedup.pieces(rows, substring_dedup.facts_by_sets(by_anchor, substring_dedup.bits_for(by_anchor.count())), 20, 8).filter("doc_id < 9")
+    assert few.count() < 4 * 60 and few.agg({"n_edges": "max"}).first()[0] > 1900
+    full = substring_dedup.pieces(rows, substring_dedup.facts_by_sets(by_anchor, 64), 20, 8)
+    assert full.agg({"n_edges": "sum"}).first()[0] == 4 * (2004 - 19) + 3000 - 19
 
 
 def test_substring_dedup_periodic_and_branching(spark):
     texts = ["a b " * 60, "a b " * 45 + "c", " ".join("xyz"[i * i % 3] for i in range(200)), "p " * 100, " ".join(map(str, range(50))), " ".join(map(str, range(10, 45))) + " q"]
     rows = list(enumerate(texts))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs)).collect()) == brute_substrings(rows)
+    for max_bits in (substring_dedup.MAX_BITS, 0):
+        assert Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs, max_bits=max_bits)).collect()) == brute_substrings(rows)
 
 
 def test_substring_dedup_rows_of_one_id(spark):
@@ -56,7 +73,8 @@ def test_substring_dedup_rows_of_one_id(spark):
     long = " ".join(f"u{i}" for i in range(200)) + f" {passage} and {passage}"
     rows = [(None, long), (None, "short text of null id"), (None, " ".join(f"v{i}" for i in range(240))), (3, f"{passage} x"), (3, "tiny"), (3, f"lead {passage}"), (3, f"lead {passage}")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs)).collect()) == brute_substrings(rows)
+    for max_bits in (substring_dedup.MAX_BITS, 0):
+        assert Counter(tuple(r) for r in substring_dedup.digest(substring_dedup.dedup(docs, max_bits=max_bits)).collect()) == brute_substrings(rows)
 
 
 def brute_print(text):
@@ -92,8 +110,8 @@ def test_simhash(spark, odd, none, real):
     for docs in (odd, real):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
         want = brute_clusters(rows)
-        for leaf in (1024, 4):
-            assert Counter(tuple(r) for r in simhash.digest(simhash.clusters(docs, leaf=leaf)).collect()) == want
+        for sizes in ({}, {"leaf": 4}, {"shard": 0.001}):
+            assert Counter(tuple(r) for r in simhash.digest(simhash.clusters(docs, **sizes)).collect()) == want
     assert simhash.clusters(none).count() == 0
 
 
@@ -107,6 +125,25 @@ def test_simhash_dedup_keeps_one_row_a_component(odd, none, real):
     assert simhash.dedup(none).count() == 0
 
 
+@pytest.mark.parametrize(("n", "choices"), [(10, 4), (100_000_000, 10), (200_000_000_000, 20)])
+def test_shards_keep_their_size(n, choices):
+    found, rng = simhash.masks(n, 3), random.Random(4)
+    assert len(found) == choices and n / 2 ** min(m.bit_count() for m in found) < 2 * simhash.SHARD
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), 3):
+            b ^= 1 << bit
+        assert any(a & m == b & m for m in found)
+
+
+def test_dedup_of_clashing_names(spark):
+    names = ["gone_key", "kept_key", "twice_key", "dedup_key", "row_key", "fp", "root", "l_fp", "none"]
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "e"), (3, "e")], "doc_id long, text string").withColumns({n: F.lit(n) for n in names})
+    got = simhash.dedup(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [(1, "a b c d", *names), (3, "e", *names)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, (1 << 12) - 1), max_size=40, unique=True))
 def test_bk_tree_links_span(values):
