@@ -5,8 +5,9 @@ Texts are lower-cased (A-Z), cut into words, and all runs of ``shingle`` words a
 differ in at most ``radius`` bits are linked; links are followed to components.
 
 Work is on distinct fingerprints, so a group of exact copies is one of them. The 64 bits are cut into
-radius + 1 blocks. Two fingerprints within the radius agree in at least one block, so each (block,
-value) is a shard that can be searched by itself. A shard's fingerprints form BK-trees: the children
+m > radius blocks. Two fingerprints within the radius agree in at least m - radius blocks, so each choice of so many blocks with
+their values is a shard that can be searched by itself. m grows with the number of fingerprints (4 blocks up to 16 million, 5 up to
+5 billion), so a shard of unlike fingerprints keeps its size. A shard's fingerprints form BK-trees: the children
 of a node are keyed by their Hamming distance to it, and a search at distance d only follows the keys from d - radius
 to d + radius. Shards hold at most ``leaf`` fingerprints a tree; a larger one is cut into several trees
 and all fingerprints of the shard are searched in each of them, tree by tree in separate groups. A group gives
@@ -23,6 +24,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,14 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatloom.llm import words as W
+from seatloom.llm import columns as C
 from seatloom.llm.graph import components
-from seatloom.runtime import materialise
+from seatloom.runtime import discard, in_arrow, materialise, ship
 
 SHINGLE = 3
 RADIUS = 3
-#: Most fingerprints of one BK-tree.
-LEAF = 1024
+#: Most fingerprints of one BK-tree, and wanted for a shard.
+LEAF, SHARD = 1024, 256
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -82,7 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, *keys: str) -> DataFra
             more = [batch.column(2 + i) for i in range(len(keys))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64)), *more], ["doc_id", "fp", *keys])
 
-    return docs.select("doc_id", "text", *keys).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keys)))
+    return in_arrow(docs.select("doc_id", "text", *keys), run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keys)))
 
 
 class BkTree:
@@ -148,15 +150,22 @@ def spanning_links(members: list[int], queries: list[int], radius: int) -> list[
     return links
 
 
-def near_links(distinct: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
-    """Distinct fingerprints (fp) -> links (a, b) that connect all fingerprints within the radius."""
-    n = radius + 1
-    width = 64 // n
-    blocks = [
-        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << (width if i < n - 1 else 64 - i * width)) - 1)).alias("value"))
-        for i in range(n)
-    ]
-    placed = distinct.select("fp", F.explode(F.array(*blocks)).alias("shard")).select("fp", "shard.block", "shard.value")
+def masks(n: int, radius: int, shard: int = SHARD) -> list[int]:
+    """Bits by which n fingerprints are put into shards, a mask for each choice of blocks; fingerprints within the radius agree under one of them."""
+    m = radius + 1
+    while m < 16 and n / 2 ** (64 * (m - radius) / m) > shard:
+        m += 1
+    edges = [round(64 * i / m) for i in range(m + 1)]
+    block = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [sum(block[i] for i in chosen) for chosen in combinations(range(m), m - radius)]
+
+
+def near_links(distinct: DataFrame, radius: int = RADIUS, leaf: int = LEAF, shard: int = SHARD) -> DataFrame:
+    """Distinct fingerprints (fp), written out -> links (a, b) that connect all fingerprints within the radius."""
+    ship(distinct.sparkSession)
+    under = lambda mask: mask - (1 << 64) if mask >> 63 else mask
+    shards = [F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(under(mask))).alias("value")) for i, mask in enumerate(masks(distinct.count(), radius, shard))]
+    placed = distinct.select("fp", F.explode(F.array(*shards)).alias("shard")).select("fp", "shard.block", "shard.value")
     sizes = placed.groupBy("block", "value").count().filter("count > 1").withColumn("trees", F.ceil(F.col("count") / leaf).cast("int"))
     sizes = materialise(sizes.select("block", "value", "trees"), "shards")
     # a fingerprint is a member of one tree of its shard and is searched in the later ones
@@ -195,21 +204,22 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> D
     return groups.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
 
 
-def component_roots(prints: DataFrame, radius: int, leaf: int) -> DataFrame:
+def component_roots(prints: DataFrame, radius: int, leaf: int, shard: int = SHARD) -> DataFrame:
     """Fingerprints (fp) -> l_fp, root: the least fingerprint of its component, a row for each distinct one."""
     distinct = materialise(prints.select("fp").distinct(), "distinct-fingerprints")
-    linked = components(near_links(distinct, radius, leaf))
+    linked = components(near_links(distinct, radius, leaf, shard))
     rooted = distinct.join(linked, F.col("fp") == F.col("node"), "left")
     return materialise(rooted.select(F.col("fp").alias("l_fp"), F.coalesce("component", "fp").alias("root")), "roots")
 
 
-def clusters(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
+def clusters(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: int = LEAF, shard: int = SHARD) -> DataFrame:
     """Documents -> doc_id, fp, component_id (least doc_id of the component)."""
     prints = materialise(fingerprints(docs, shingle), "fingerprints")
-    roots = component_roots(prints, radius, leaf)
+    roots = component_roots(prints, radius, leaf, shard)
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = materialise(roots.join(least, F.col("l_fp") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component_id")), "components")
     labels = materialise(roots.join(named, "root").select("l_fp", "component_id"), "labels")
+    discard(roots, named)
     return prints.join(labels, F.col("fp") == F.col("l_fp"), "left").select("doc_id", "fp", "component_id")
 
 
@@ -218,9 +228,9 @@ def digest(clustered: DataFrame) -> DataFrame:
     return clustered.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def row_key() -> Column:
+def row_key(doc_id: Column | str = "doc_id", text: Column | str = "text") -> Column:
     """Tells rows apart; rows alike in doc_id and text are one document where it is used."""
-    return F.xxhash64("doc_id", "text", F.lit(1))
+    return F.xxhash64(doc_id, text, F.lit(1))
 
 
 def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
@@ -228,21 +238,23 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, leaf: i
 
     Rows are told apart by a hash of doc_id and text; rows alike in both are one document here.
     """
-    prints = materialise(fingerprints(docs.withColumn("row_key", row_key()), shingle, "row_key"), "fingerprints")
+    prints = materialise(fingerprints(docs.select("doc_id", "text", row_key().alias("row_key")), shingle, "row_key"), "fingerprints")
     return keep_first(docs, prints, component_roots(prints, radius, leaf))
 
 
 def keep_first(docs: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
     """Documents, their prints (doc_id, fp, row_key) and components (l_fp, root) -> the row of least doc_id of each component."""
-    key = row_key()
     rooted = prints.join(roots, F.col("fp") == F.col("l_fp"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row_key"))
     kept = materialise(rooted.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_key").alias("kept_key")), "kept")
     dropped = materialise(prints.join(kept, F.col("row_key") == F.col("kept_key"), "left_anti").select(F.col("row_key").alias("gone_key")).distinct(), "dropped")
-    rows = docs.join(dropped, key == F.col("gone_key"), "left_anti")
+    # the documents' own columns are hidden, so none clashes with a key
+    hidden, key = C.hidden(docs), row_key(C.own("doc_id"), C.own("text"))
+    rows = hidden.join(dropped, key == F.col("gone_key"), "left_anti")
     # kept rows that repeat: only these few are dealt by key
     twice = prints.join(kept, F.col("row_key") == F.col("kept_key"), "left_semi").groupBy("row_key").count().filter("count > 1")
     twice = materialise(twice.select(F.col("row_key").alias("twice_key")), "repeated")
+    discard(kept)
     single = rows.join(twice, key == F.col("twice_key"), "left_anti")
     repeated = rows.join(twice, key == F.col("twice_key"), "left_semi").withColumn("dedup_key", key).dropDuplicates(["dedup_key"]).drop("dedup_key")
-    return single.unionByName(repeated)
+    return C.shown(single.unionByName(repeated), docs.columns)

@@ -59,5 +59,5 @@ def test_near_dedup_by_chunks(spark):
     chain = [" ".join(f"c{k}" for k in range(8 * i, 8 * i + 200)) for i in range(20)]
     rows = list(enumerate(texts + chain)) + [(500, "alone"), (501, ""), (502, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for chunk in (256, 7):
-        assert {r.doc_id for r in shingle_dedup.dedup(docs, chunk=chunk).collect()} == {0, 60, 500, 501}
+    for cut in ({}, {"chunk": 7}, {"max_bits": 0}):
+        assert {r.doc_id for r in shingle_dedup.dedup(docs, **cut).collect()} == {0, 60, 500, 501}
