@@ -5,9 +5,11 @@ a lexicon of each language's frequent words. Transitions between the labels of n
 from code-switched sequences spliced of passages in different languages. Forward-backward gives each word's label
 distribution; a document's language is the label with the largest sum over its words, its score that sum's share.
 
-Training uses a bounded sample of labelled rows: ``docs_per_language`` documents drawn by hash from each language and
-``passages`` passages of ``passage_words`` words, spread evenly over each of them; these bounds are parameters. The model
-(weights of 2**16 features for each language, transitions, lexicons) has a fixed size. Prediction reads whole texts.
+Training uses a bounded sample of labelled rows: of the ``languages`` most frequent languages ``docs_per_language`` documents each,
+drawn by hash, and of each document ``passages`` passages of ``passage_words`` words, spread evenly over it; these bounds are
+parameters. The executors cut the sample to them, so the driver gets no more rows, however large the corpus. The model
+(weights of 2**16 features for each language, transitions, lexicons of ``lexicon_words`` words) has a fixed size. Prediction reads
+whole texts, and features come from whole words, however long.
 
 Words are runs of letters, lower-cased. Defined cases: a text that is null or has no letter is ``und`` with score 0; with no
 labelled rows every text is ``und``; one language only: that language, score 1; rows with null lang aren't
@@ -26,18 +28,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatloom.llm import words as W
+from seatloom.runtime import in_arrow
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
-DOCS_PER_LANGUAGE, PASSAGES, PASSAGE_WORDS = 400, 4, 60
+LANGUAGES, DOCS_PER_LANGUAGE, PASSAGES, PASSAGE_WORDS = 256, 400, 4, 60
 LEXICON_WORDS = 300
-#: Words longer than this give the n-grams of their ends only; the word itself counts whole.
-LONG_WORD = 48
-CACHE_WORDS = 400_000
+#: Bounds of what a worker keeps of words it has seen.
+CACHE_WORDS, CACHE_LETTERS = 400_000, 1 << 25
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -65,14 +67,12 @@ _BUCKETS = Buckets()
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a word: itself, affixes up to 4 characters, n-grams of 1 to 3 characters; always in one order."""
-    inner = word if len(word) <= LONG_WORD else word[: LONG_WORD // 2] + " " + word[-LONG_WORD // 2 :]
-    fenced, top = f"<{inner}>", min(4, len(word)) + 1
-    found = ["p" + word[:n] for n in range(1, top)] + ["s" + word[-n:] for n in range(1, top)]
-    for n in (1, 2, 3):
-        found += ["g" + fenced[i : i + n] for i in range(len(fenced) - n + 1)]
-    known = _BUCKETS
-    return [zlib.crc32(b"w" + word.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)] + [known[f] for f in dict.fromkeys(found)]
+    """Buckets of a word's features, each once: itself, affixes up to 4 characters, n-grams of 1 to 3 characters; always in one order."""
+    fenced, top = f"<{word}>", min(4, len(word)) + 1
+    affixes = ["p" + word[:n] for n in range(1, top)] + ["s" + word[-n:] for n in range(1, top)]
+    grams = ("g" + fenced[i : i + n] for n in (1, 2, 3) for i in range(len(fenced) - n + 1))
+    own = zlib.crc32(b"w" + word.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
+    return [own, *dict.fromkeys(map(_BUCKETS.__getitem__, chain(affixes, grams)))]
 
 
 @dataclass
@@ -143,12 +143,12 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, transitions: np.ndarra
     return marginal, steps[inside[1:]].sum(axis=0)
 
 
-def sample(labelled: DataFrame, docs_per_language: int, passages: int, passage_words: int) -> list[tuple[str, list[list[str]]]]:
+def sample(labelled: DataFrame, docs_per_language: int, passages: int, passage_words: int, languages: int = LANGUAGES) -> list[tuple[str, list[list[str]]]]:
     """Bounded training rows: (language, passages of words)."""
     rows = labelled.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").count().withColumnRenamed("lang", "c_lang")
-    # a share of each language by hash, a little above what is wanted; the exact bound is cut after it
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text")), F.lit(1 << 30)) < F.lit(1.3 * docs_per_language * (1 << 30)) / F.col("count") + F.lit(1 << 20)
+    counts = rows.groupBy(F.col("lang").alias("c_lang")).count().orderBy(F.desc("count"), "c_lang").limit(languages)
+    # a share of each language by hash, about twice what is wanted; the exact cut follows, before anything is collected
+    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text")), F.lit(1 << 30)) < F.lit(2.0 * docs_per_language * (1 << 30)) / F.col("count")
     near = rows.join(F.broadcast(counts), F.col("lang") == F.col("c_lang")).filter(drawn)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,15 +168,11 @@ def sample(labelled: DataFrame, docs_per_language: int, passages: int, passage_w
             keys, langs, cuts = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(langs, pa.string()), pa.array(cuts, pa.list_(pa.string()))], ["key", "lang", "passages"])
 
-    keyed = near.select(F.xxhash64("doc_id", "text").alias("key"), "text", "lang")
-    found = keyed.mapInArrow(run, "key long, lang string, passages array<string>").collect()
-    kept: list[tuple[str, list[list[str]]]] = []
-    taken: Counter = Counter()
-    for r in sorted(found, key=lambda r: (r.lang, r.key)):
-        if taken[r.lang] < docs_per_language and r.passages:
-            taken[r.lang] += 1
-            kept.append((r.lang, [p.split() for p in r.passages]))
-    return kept
+    found = in_arrow(near.select(F.xxhash64("doc_id", "text").alias("key"), "text", "lang"), run, "key long, lang string, passages array<string>")
+    found = found.filter(F.size("passages") > 0).groupBy("lang", "key").agg(F.min("passages").alias("passages"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    kept = found.withColumn("place", place).filter(F.col("place") <= docs_per_language).select("lang", "key", "passages").collect()
+    return [(r.lang, [p.split() for p in r.passages]) for r in sorted(kept, key=lambda r: (r.lang, r.key))]
 
 
 def train(
@@ -186,20 +182,22 @@ def train(
     passage_words: int = PASSAGE_WORDS,
     rounds: int = 60,
     seed: int = 17,
+    lexicon_words: int = LEXICON_WORDS,
+    languages: int = LANGUAGES,
 ) -> Model:
     """Fit the field to a bounded sample of labelled rows (doc_id, text, lang) by Adam on its log-likelihood."""
-    rows = sample(labelled, docs_per_language, passages, passage_words)
-    languages = sorted({lang for lang, _ in rows})
-    k, number = len(languages), {lang: i for i, lang in enumerate(languages)}
-    counts: list[Counter] = [Counter() for _ in languages]
+    rows = sample(labelled, docs_per_language, passages, passage_words, languages)
+    learned = sorted({lang for lang, _ in rows})
+    k, number = len(learned), {lang: i for i, lang in enumerate(learned)}
+    counts: list[Counter] = [Counter() for _ in learned]
     for lang, cut in rows:
         for p in cut:
             counts[number[lang]].update(p)
     lexicon: dict[str, int] = {}
     for i, c in enumerate(counts):
-        for word, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_WORDS]:
+        for word, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:lexicon_words]:
             lexicon[word] = lexicon.get(word, 0) | 1 << i
-    model = Model(languages, lexicon, np.zeros((BUCKETS + k, k)), np.zeros((k, k)), np.zeros(k))
+    model = Model(learned, lexicon, np.zeros((BUCKETS + k, k)), np.zeros((k, k)), np.zeros(k))
     if k < 2:
         return model
     # splice: passages in random order, four to a sequence, so labels change within sequences
@@ -250,6 +248,7 @@ class Labeller:
     def __init__(self, model: Model):
         self.model = model
         self.known: dict[str, int] = {}
+        self.letters = 0
         self.table = np.zeros((1 << 12, len(model.languages)), np.float32)
 
     @classmethod
@@ -260,10 +259,11 @@ class Labeller:
         return model.labeller
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
+        if len(self.known) > CACHE_WORDS or self.letters > CACHE_LETTERS:
+            self.known, self.letters = {}, 0
         known = self.known
         new = list({w: None for w in words if w not in known})
+        self.letters += sum(map(len, new))
         for a in range(0, len(new), 4096):
             part = new[a : a + 4096]
             rows = [self.model.rows(w) for w in part]
@@ -306,7 +306,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 langs, scores = labeller.predict(batch.column(1).slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return in_arrow(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -322,4 +322,4 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFr
                 langs, scores = labeller.predict(part.column(at).to_pylist())
                 yield part.filter(pa.array([lang != UNDETERMINED and s >= least for lang, s in zip(langs, scores, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)

@@ -153,6 +153,25 @@ def test_language_code_switched(real, model):
     assert labels[:38].count("en") >= 36 and labels[42:].count("de") >= 36
 
 
+def test_language_features_of_whole_words():
+    middle = lambda x: "a" * 300 + x + "b" * 300
+    assert set(language_id.features(middle("xyz"))[1:]) != set(language_id.features(middle("zyx"))[1:])
+    long = language_id.features("ab" * 400_000)
+    assert len(long) == len(set(long[1:])) + 1 < 30
+
+
+def test_language_sample_is_bounded(spark):
+    """A million rows of two languages, of which a third is one document, give no more rows than asked for."""
+    some = spark.range(1_000_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, "one and the same").otherwise(F.concat(F.lit("word "), F.col("id").cast("string"))).alias("text"),
+        F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"),
+    )
+    got = Counter(lang for lang, _ in language_id.sample(some, 50, 2, 10))
+    assert got == {"en": 50, "de": 50}
+    junk = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text"), (F.col("id") % 100).cast("string").alias("lang"))
+    assert len({lang for lang, _ in language_id.sample(junk, 5, 2, 10, languages=7)}) == 7
+
+
 def test_forward_backward_by_enumeration():
     rng = np.random.default_rng(1)
     emit, t, s = rng.normal(size=(37, 3)) * 2, rng.normal(size=(3, 3)), rng.normal(size=3)
