@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ def terms(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOW))
 
 
-def brute_topk(rows, is_query, k=10, m=16):
+def brute_topk(rows, is_query, k=10, m=1 << 40):
     docs = [(d, Counter(terms(t))) for d, t in rows]
     docs = [(d, c, sum(c.values())) for d, c in docs if c]
     n = len(docs)
@@ -38,11 +39,11 @@ def brute_topk(rows, is_query, k=10, m=16):
     return out
 
 
-@pytest.mark.parametrize("cut", [{}, {"shard_terms": 2000, "set_terms": 8000, "bucket": 2}])
+@pytest.mark.parametrize("cut", [{}, {"shard_terms": 2000, "set_terms": 8000, "bucket": 2}, {"terms": 16, "block_terms": 300}])
 def test_topk(real, none, cut):
     rows = [(r.doc_id, r.text) for r in real.collect()]
     got = {tuple(r) for r in topk_search.search(real, F.col("doc_id") % 50 == 0, **cut).collect()}
-    assert got == brute_topk(rows, lambda d: d % 50 == 0)
+    assert got == brute_topk(rows, lambda d: d % 50 == 0, m=cut.get("terms", 1 << 40))
     assert topk_search.search(none, F.lit(True)).count() == 0
 
 
@@ -59,50 +60,87 @@ def test_topk_repeated_query_asks_each_term_once(spark):
     text = " ".join(f"t{i:02}" for i in range(40))
     rows = [(1, text), (1, text)] + [(100 + i, f"t{i:02} filler") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {tuple(r) for r in topk_search.search(docs, F.col("doc_id") == 1, k=50).collect()}
-    assert got == brute_topk(rows, lambda d: d == 1, k=50)
-    assert len(got) == 18
-
-
-@pytest.mark.parametrize("bucket", [32_768, 1])
-def test_topk_of_whole_queries(real, bucket):
-    rows = [(r.doc_id, r.text) for r in real.collect()]
-    got = {tuple(r) for r in topk_search.search(real, F.col("doc_id") % 50 == 0, terms=None, bucket=bucket).collect()}
-    assert got == brute_topk(rows, lambda d: d % 50 == 0, m=1 << 40)
+    for m, n in ((16, 18), (1 << 40, 42)):
+        got = {tuple(r) for r in topk_search.search(docs, F.col("doc_id") == 1, k=50, terms=m).collect()}
+        assert got == brute_topk(rows, lambda d: d == 1, k=50, m=m)
+        assert len(got) == n
+
+
+def random_lists(rng, n):
+    """Lists with their weights, frequencies and the exact scores."""
+    sizes, docs, sats, weights, total = [], [], [], [], np.zeros(n)
+    for _ in range(int(rng.integers(1, 60))):
+        own = np.flatnonzero(rng.random(n) < rng.random() ** 4)
+        if len(own):
+            sat, weight = rng.integers(1, 9, len(own)) / 8, float(rng.integers(1, 200))
+            total[own] += np.floor(weight * sat)
+            sizes, docs, sats, weights = [*sizes, len(own)], [*docs, own], [*sats, sat], [*weights, weight]
+    if not sizes:
+        return random_lists(rng, n)
+    return bm25.Lists(np.array(sizes), np.concatenate(docs), np.concatenate(sats), n), np.array(weights), total
 
 
 def test_block_max_pruning_is_exact():
     rng = np.random.default_rng(3)
-    for _ in range(50):
-        n = int(rng.integers(1, 900))
-        lists, total = [], np.zeros(n, np.int64)
-        for _ in range(int(rng.integers(1, 8))):
-            docs = np.flatnonzero(rng.random(n) < rng.random())
-            impacts = rng.integers(1, 6, len(docs))
-            lists.append(bm25.Postings(docs, impacts))
-            total[docs] += impacts
-        k = int(rng.integers(1, 12))
-        order = [d for d in np.lexsort((np.arange(n), -total)) if total[d] > 0][:k]
-        assert bm25.top_k(lists, n, k)[0].tolist() == order
-        limits = rng.integers(1, 20, n)
+    for _ in range(80):
+        n = int(rng.integers(1, 3000))
+        lists, weights, total = random_lists(rng, n)
+        every = np.arange(len(weights))
+        searcher = bm25.Searcher(lists, np.argsort(lists.docs, kind="stable"))
+        held = np.zeros(n, bool)
+        held[lists.docs] = True
+        for k in (1, 10):
+            order = [d for d in np.lexsort((np.arange(n), -total)) if held[d]][:k]
+            for floor in (0.0, total[order[-1]]):
+                docs, scores = searcher.top_k(every, weights, k, floor)
+                assert docs.tolist() == order and scores.tolist() == total[order].tolist()
+        limits = rng.integers(1, 2 + int(total.max()), n)
         least = np.minimum.reduceat(limits, np.arange(0, n, bm25.BLOCK))
-        assert bm25.above(lists, limits, least)[0].tolist() == np.flatnonzero(total >= limits).tolist()
+        assert bm25.above(lists, every, weights, limits, least)[0].tolist() == np.flatnonzero(total >= limits).tolist()
+
+
+def test_pruning_saves_postings(real):
+    """With a floor from earlier shards a good part of the postings that whole queries ask for is never scored, though all results are exact."""
+    rows = [r.text for r in real.collect()]
+    builder, texts = topk_search.ShardBuilder(), [bm25.terms_of((t or "").encode()) for t in rows * 10]
+    for i, w in enumerate(texts):
+        builder.add(i, w + [b"own%d" % i] * 3)
+    shard = builder.batch(0)
+    blobs = [np.frombuffer(shard.column(n)[0].as_py(), kind) for n, kind in (("docs", np.int32), ("tfs", np.int32), ("ids", np.int64), ("lengths", np.int32), ("forward", np.int32))]
+    terms, sizes = shard.column("terms")[0].as_py(), shard.column("sizes")[0].values.to_numpy()
+    weight = dict(zip(terms, bm25.idf(len(texts), sizes).tolist(), strict=True))
+    asked = [(i, t, weight[t]) for i in range(0, 200, 20) for t in dict.fromkeys(texts[i])]
+    table = pa.table(dict(zip(("query_id", "term", "weight"), (pa.array(c) for c in zip(*asked, strict=True)), strict=True)))
+    search = topk_search.BlockSearch(topk_search.Block(table), float(np.mean(blobs[3])), 10)
+    search.add(terms, sizes, *blobs)
+    search.scored = search.asked = 0
+    search.add(terms, sizes, *blobs)
+    assert search.scored < 0.5 * search.asked
 
 
 def brute_leaks(docs, items):
+    """By the definition: five-word shingles of an item, its question or its answer of which 0.8 stand in the document."""
     grams = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
     out = Counter()
     for d, t in docs:
         w = terms(t)
         for i, x in items:
-            own = grams(terms(x))
-            n = len(next(iter(own))) if own else 0
-            have = {tuple(w[a : a + n]) for a in range(len(w) - n + 1)} if n else set()
-            if own and len(own & have) / len(own) >= 0.8:
-                out[d, i, round(len(own & have) / len(own), 6)] += 1
+            shares = {}
+            for name, part in zip(("item", "question", "answer"), (x, *decontaminate.split_item(x)), strict=True):
+                own = grams(terms(part))
+                n = len(next(iter(own))) if own else 0
+                have = {tuple(w[a : a + n]) for a in range(len(w) - n + 1)} if n else set()
+                if own and len(own & have) / len(own) >= 0.8 and (name == "item" or len(terms(part)) >= 10):
+                    shares[name] = len(own & have) / len(own)
+            if shares:
+                out[d, i, ",".join(shares), round(shares.get("item", 0), 6)] += 1
     return out
 
 
+def found_leaks(rows):
+    return Counter((r.doc_id, r.item_id, r.found, round(r.overlap, 6) if "item" in r.found else 0) for r in rows)
+
+
 def test_decontaminate(spark, sf_dir, odd, none, real):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     held = [(r.item_id, r.text) for r in items.collect()]
@@ -111,11 +149,15 @@ def test_decontaminate(spark, sf_dir, odd, none, real):
     near = spark.createDataFrame(rows, "doc_id long, text string")
     more = items.select("item_id", "text").unionByName(spark.createDataFrame([(900, "Three little words."), (901, None), (902, ""), (None, "x")], "item_id long, text string"))
     every = [(r.item_id, r.text) for r in more.collect() if r.item_id is not None and r.text is not None]
+    scores = []
     for docs in (real, odd, near):
-        texts = [(r.doc_id, r.text) for r in docs.collect()]
-        for per in (20_000, 7):
+        want = brute_leaks([(r.doc_id, r.text) for r in docs.collect()], every)
+        for per in (20_000, 15):
             got = decontaminate.leaks(docs, more, items_per_part=per).collect()
-            assert Counter((r.doc_id, r.item_id, round(r.overlap, 6)) for r in got) == brute_leaks(texts, every)
+            assert found_leaks(got) == want
+            scores.append(sorted((r.doc_id or 0, r.item_id, r.score) for r in got))
+    # statistics are those of all items, so scores don't depend on how items are dealt
+    assert scores[0::2] == scores[1::2]
     kept = decontaminate.decontaminate(real, items)
     bad = {d for d, *_ in brute_leaks([(r.doc_id, r.text) for r in real.collect()], held)}
     assert bad and {r.doc_id for r in kept.collect()} == {r.doc_id for r in real.collect()} - bad and kept.columns == real.columns
@@ -123,6 +165,21 @@ def test_decontaminate(spark, sf_dir, odd, none, real):
     assert decontaminate.decontaminate(odd, items.limit(0)).count() == odd.count()
 
 
+def test_question_or_answer_alone(spark):
+    question = "Which of the many rivers of the northern plain carries the most water in spring?"
+    answer = "It is the long river that comes down from the hills behind the town."
+    items = spark.createDataFrame([(1, f"{question} {answer}"), (2, "Why so? Because.")], "item_id long, text string")
+    rows = [
+        (1, f"{question} Nobody has measured any of them so far, and nobody will for many more years to come, they say."), (2, f"As you know, {answer.lower()}"),
+        (3, f"{question} {answer}"), (4, "Why so?"), (5, "because"), (None, f"lead {question}"), (None, "clean text"), (6, "the many rivers of the town"), (7, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"leak_id": F.lit(3), "found": F.lit("x"), "item_id": F.lit(2)})
+    got = decontaminate.leaks(docs, items).collect()
+    assert {(r.doc_id, r.item_id): r.found for r in got} == {(1, 1): "question", (2, 1): "answer", (3, 1): "item,question,answer", (None, 1): "question"}
+    kept = decontaminate.decontaminate(docs, items)
+    assert kept.columns == docs.columns and sorted((r.text or "") for r in kept.collect()) == ["", "Why so?", "because", "clean text", "the many rivers of the town"]
+
+
 def test_question_and_answer():
     assert decontaminate.split_item("Is it? Yes it is.") == ("Is it? ", "Yes it is.")
     assert decontaminate.split_item("One sentence only.") == ("One sentence only.", "")
