@@ -9,8 +9,8 @@ level one sums sizes for each (source, range), level two sorts rows only inside
 source in which the cut falls. A source that holds a third of all rows is thus spread over all ranges.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ordered last; rows that
-repeat are separate documents; rows with equal keys are ordered by doc_id, then size; empty input gives
-empty output; documents of size 0 take 0. Other input columns are ignored.
+repeat are separate documents; the key is a hash of doc_id or, where that is null, of the text; rows with equal keys are ordered by
+doc_id, then size; empty input gives empty output; documents of size 0 take 0. Other input columns are ignored, or kept as they are.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seatloom.llm import columns as C
 from seatloom.runtime import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,9 +57,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: float) -> Da
     return ranked.select("source", "source_size", F.least(share, F.col("limit")).alias("target"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Documents with ``m_source``, ``m_size`` and ``m_key``, the hash-random key."""
-    return docs.withColumns({"m_source": F.col("source"), "m_size": word_count(F.col("text")), "m_key": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))})
+def keyed(docs: DataFrame, column=F.col) -> DataFrame:
+    """Documents with ``m_id``, ``m_source``, ``m_size`` and ``m_key``, the hash-random key; ``column`` reads one of theirs."""
+    text = column("text")
+    key = F.md5(F.coalesce(column("doc_id").cast("string"), F.concat(F.lit("text:"), F.coalesce(text, F.lit("")))))
+    return docs.withColumns({"m_id": column("doc_id"), "m_source": column("source"), "m_size": word_count(text), "m_key": key})
 
 
 def cuts_of(sized: DataFrame, digits: int, weights: tuple[int, ...], cap: float) -> DataFrame:
@@ -84,7 +87,7 @@ def cuts_of(sized: DataFrame, digits: int, weights: tuple[int, ...], cap: float)
 def taken_of(rows: DataFrame, cuts: DataFrame, digits: int) -> DataFrame:
     """Keyed rows with ``m_taken`` and the columns of their cut; only ranges in which a cut falls are sorted."""
     placed = rows.join(cuts, F.col("m_source").eqNullSafe(F.col("c_source")) & (F.substring("m_key", 1, digits) == F.col("c_range")))
-    inside = Window.partitionBy("m_source", "c_range").orderBy("m_key", "doc_id", "m_size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("m_source", "c_range").orderBy("m_key", "m_id", "m_size").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("c_rest") - F.coalesce(F.sum("m_size").over(inside), F.lit(0))
     cut = placed.filter("c_split").withColumn("m_part", F.greatest(F.lit(0), F.least(left, F.col("m_size"))))
     whole = placed.filter("NOT c_split").withColumn("m_part", F.when(F.col("c_rest") > 0, F.col("m_size")).otherwise(0))
@@ -106,11 +109,11 @@ def mix(
 
     ``rows_per_range`` sets how many ranges the keys are cut into; it changes no result.
     """
-    sized = materialise(keyed(docs.select("doc_id", "source", "text")).drop("text"), "sizes")
+    sized = materialise(keyed(docs.select("doc_id", "source", "text")).drop("doc_id", "source", "text"), "sizes")
     digits = digits_for(sized.count(), rows_per_range)
     out = taken_of(sized, cuts_of(sized, digits, weights, cap), digits)
     return out.select(
-        "doc_id", "source", F.col("m_size").alias("size"), F.col("c_size").alias("source_size"), F.col("c_target").alias("target"), F.col("m_taken").alias("taken")
+        F.col("m_id").alias("doc_id"), F.col("m_source").alias("source"), F.col("m_size").alias("size"), F.col("c_size").alias("source_size"), F.col("c_target").alias("target"), F.col("m_taken").alias("taken")
     )
 
 
@@ -120,17 +123,17 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.
     Texts stay where they are unless a cut falls into their range. Columns of the documents named size or taken give way.
     """
     columns = [c for c in docs.columns if c not in ("size", "taken")]
-    rows = keyed(docs.select(*columns))
+    rows = keyed(C.hidden(docs.select(*[F.col(f"`{c}`") for c in columns])), C.own)
     sized = materialise(rows.select("m_source", "m_size", "m_key"), "sizes")
     digits = digits_for(sized.count(), rows_per_range)
     out = taken_of(rows, cuts_of(sized, digits, weights, cap), digits).filter("m_taken > 0")
-    return out.select(*columns, F.col("m_size").alias("size"), F.col("m_taken").alias("taken"))
+    return out.select(*[C.own(c).alias(c) for c in columns], F.col("m_size").alias("size"), F.col("m_taken").alias("taken"))
 
 
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'text:' || coalesce(text, ''))) AS k
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
