@@ -11,6 +11,9 @@ probability at most 1/x under the other model), so longer candidates can give sm
 Benjamini-Hochberg rule over all candidates of the corpus turns these p-values into a cut that keeps the
 false-discovery rate; its counts come from one grouped histogram of whole p-value exponents.
 
+Base spans are blanked before candidates are taken, and a run that touches a blank is no candidate, so spans added don't overlap base
+spans. Work on a text grows in proportion to its length, however many matches it holds.
+
 Positions are code points, end exclusive. Defined cases: a null text is empty; rows that repeat are
 separate documents; a null doc_id is kept; empty input gives empty output; other columns are ignored.
 """
@@ -22,6 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seatloom.llm import columns as C
 from seatloom.runtime import materialise
 
 # The base patterns, in the order of their kinds.
@@ -30,54 +34,94 @@ ASSIGN_VALUE = r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
 MIN_VALUE, MIN_ACCESS = 6, 20
-KINDS = ("assign", "access", "hex", "random")
+BASE = {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
+KINDS = (*BASE, "random")
 
-#: Candidates of the randomness battery: whole runs of key characters of a length that can carry a key.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Candidates of the randomness battery: whole runs of key characters of a length that can carry a key, away from what is blanked.
+KEY = r"[A-Za-z0-9+/_=-]"
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=\x02-]){KEY}{{20,}}+(?!\x02)"
 #: Critical values of the battery at one part in a thousand: normal quantile, for each two-sided test.
 Z = 3.2905
 FALSE_DISCOVERY = 0.001
-MARK, STAND_IN = "\u0001", "\u0002"
+MARK, STAND_IN, OTHER = "\u0001", "\u0002", "\u0003"
 
 SPANS = "array<struct<start:int,kind_no:int,stop:int,value:string>>"
+#: Pieces that are measured together; even, as matches are the odd pieces.
+CHUNK = 64
 #: Exponents of p-values are kept as whole numbers up to this one, so the histogram has a fixed size.
 TOP_EXPONENT = 400
 
 
+def given(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def pieces_of(text: Column, pattern: str) -> Column:
+    """The text cut at the leftmost non-overlapping matches: every odd piece is a match.
+
+    Matches are fenced by a mark, which no pattern can match; a mark in the text itself is first exchanged for another character of that kind.
+    """
+    clean = F.when(F.contains(text, F.lit(MARK)), F.translate(text, MARK, OTHER)).otherwise(text)
+    return F.split(F.regexp_replace(clean, f"({pattern})", f"{MARK}$1{MARK}"), MARK, -1)
+
+
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """All leftmost non-overlapping matches as array<struct<start,kind_no,stop,value>>.
 
-    The matches are fenced by a mark, which no pattern can match, and the pieces between the marks are
-    measured; a mark in the text itself is first exchanged for another character of that kind.
+    Pieces are measured in chunks, first the chunks' lengths, then the places inside each, so no long array is copied for every match.
     """
-    clean = F.when(F.contains(text, F.lit(MARK)), F.translate(text, MARK, STAND_IN)).otherwise(text)
-    fenced = F.regexp_replace(clean, f"({pattern})", f"{MARK}$1{MARK}")
-    pieces = F.split(fenced, MARK, -1)
-
-    def step(state: Column, piece: Column) -> Column:
-        stop = state["at"] + F.char_length(piece)
-        found = F.struct(
-            state["at"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), stop.alias("stop"), piece.alias("value")
-        )
-        return F.struct(
-            stop.alias("at"),
-            (~state["inside"]).alias("inside"),
-            F.when(state["inside"], F.concat(state["out"], F.array(found))).otherwise(state["out"]).alias("out"),
-        )
-
     nothing = F.array().cast(SPANS)
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), nothing.alias("out"))
-    folded = F.aggregate(pieces, start, step, lambda s: s["out"])
-    return F.when(text.rlike(pattern), folded).otherwise(nothing)
+
+    def inside(chunk: Column, at: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            stop = state["at"] + F.char_length(piece)
+            found = F.struct(state["at"].alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), stop.alias("stop"), piece.alias("value"))
+            out = F.when(state["inside"], F.concat(state["out"], F.array(found))).otherwise(state["out"])
+            return F.struct(stop.alias("at"), (~state["inside"]).alias("inside"), out.alias("out"))
+
+        start = F.struct(at.alias("at"), F.lit(False).alias("inside"), nothing.alias("out"))
+        return F.aggregate(chunk, start, step, lambda s: s["out"])
+
+    def of_chunks(chunks: Column) -> Column:
+        lengths = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + F.char_length(x)))
+        starts = F.aggregate(lengths, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        return F.flatten(F.zip_with(chunks, F.slice(starts, F.lit(1), F.size(chunks)), inside))
+
+    def chunked(pieces: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / CHUNK).cast("int")), lambda i: F.slice(pieces, i * CHUNK + 1, F.lit(CHUNK)))
+
+    return F.when(text.rlike(pattern), given(given(pieces_of(text, pattern), chunked), of_chunks)).otherwise(nothing)
+
+
+def fulfils(kind: str, value: Column) -> Column:
+    """Whether a match of a base pattern is long enough."""
+    if kind == "assign":
+        return F.char_length(F.regexp_extract(value, ASSIGN_VALUE, 1)) >= MIN_VALUE
+    return F.char_length(value) >= (MIN_ACCESS if kind == "access" else 0)
 
 
 def base_spans(text: Column) -> Column:
     """Spans of the three base kinds, matches that fail their length rule dropped."""
-    assign = F.filter(
-        spans_of(text, ASSIGN, "assign"), lambda s: F.char_length(F.regexp_extract(s["value"], ASSIGN_VALUE, 1)) >= MIN_VALUE
-    )
-    access = F.filter(spans_of(text, ACCESS, "access"), lambda s: s["stop"] - s["start"] >= MIN_ACCESS)
-    return F.array_sort(F.concat(assign, access, spans_of(text, HEX, "hex")))
+
+    def of(kind: str) -> Column:
+        return F.filter(spans_of(text, BASE[kind], kind), lambda s: fulfils(kind, s["value"]))
+
+    return F.array_sort(F.concat(*map(of, BASE)))
+
+
+def blanked(text: Column) -> Column:
+    """The text with every base span exchanged for as many stand-ins."""
+    clean = F.when(F.contains(text, F.lit(STAND_IN)), F.translate(text, STAND_IN, OTHER)).otherwise(text)
+
+    def without(text: Column, kind: str) -> Column:
+        def blank(piece: Column, i: Column) -> Column:
+            return F.when((i % 2 == 1) & fulfils(kind, piece), F.repeat(F.lit(STAND_IN), F.char_length(piece))).otherwise(piece)
+
+        return F.when(text.rlike(BASE[kind]), F.array_join(F.transform(pieces_of(text, BASE[kind]), blank), "")).otherwise(text)
+
+    # each step has the text before it as a value, so none is worked out twice
+    return given(given(given(clean, lambda t: without(t, "assign")), lambda t: without(t, "access")), lambda t: without(t, "hex"))
 
 
 def character_costs(docs: DataFrame) -> tuple[float, float, float, float]:
@@ -109,16 +153,18 @@ def with_evidence(candidates: Column, costs: tuple[float, float, float, float])
     return F.transform(candidates, evidence)
 
 
+# What is no discovery needs no battery; two equal codes stand for it, which no test can pass.
 # The alphabets in code order, by size; both cases and both signs of a base share a code.
 BATTERY = """
 transform(
  transform(
   transform(candidates, s -> struct(s.start, s.kind_no, s.stop, s.exponent, s.k,
+    CASE WHEN s.exponent < {cut} OR char_length(s.value) < 2 THEN array(0, 0) ELSE
     transform(filter(split(translate(s.value, '-_', '+/'), ''), c -> c != ''), c -> instr(CASE s.k
       WHEN 16 THEN CASE WHEN s.value = lower(s.value) THEN '0123456789abcdef' ELSE '0123456789ABCDEF' END
       WHEN 32 THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
       WHEN 36 THEN '0123456789abcdefghijklmnopqrstuvwxyz'
-      ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END, c) - 1) AS codes)),
+      ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END, c) - 1) END AS codes)),
   s -> struct(s.start, s.kind_no, s.stop, s.exponent, s.k, s.codes, CAST(size(s.codes) AS DOUBLE) AS n,
     aggregate(s.codes, 0D, (a, c) -> a + c) / size(s.codes) AS mean,
     aggregate(array_distinct(s.codes), 0D, (a, c) -> a + pow(size(filter(s.codes, x -> x = c)), 2)) AS squares,
@@ -154,60 +200,67 @@ def plain(spans: Column) -> Column:
 
 
 def marked(rows: DataFrame, cut: int) -> DataFrame:
-    """Rows with ``base`` and ``candidates`` -> the same with ``base`` and ``spans`` for an exponent cut.
-
-    Spans found by the battery are kept where they don't overlap a base span.
-    """
-    # what isn't a discovery needs no battery
-    promising = rows.withColumn("candidates", F.filter("candidates", lambda s: (s["exponent"] >= cut) & (F.char_length(s["value"]) > 1)))
-    tested = promising.withColumn("tested", F.when(F.size("candidates") > 0, F.expr(BATTERY)))
-
-    def kept(s: Column) -> Column:
-        passes = (F.abs(s["z_chi"]) < Z) & (F.abs(s["z_runs"]) < Z) & (F.abs(s["z_serial"]) < Z)
-        clear = ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-        return F.coalesce(passes, F.lit(False)) & clear
-
-    added = F.coalesce(plain(F.filter("tested", kept)), F.array().cast("array<struct<start:int,kind_no:int,stop:int>>"))
+    """Rows with ``base`` and ``candidates`` -> the same with ``base``, ``spans`` and ``passed`` (for each candidate) for an exponent cut."""
+    within = lambda c: F.coalesce(F.abs(c) < Z, F.lit(False))
+    tested = rows.withColumn("tested", F.when(F.size("candidates") > 0, F.expr(BATTERY.replace("{cut}", str(cut)))))
+    tested = tested.withColumn("passed", F.transform("tested", lambda s: within(s["z_chi"]) & within(s["z_runs"]) & within(s["z_serial"])))
+    found = F.filter(F.arrays_zip("tested", "passed"), lambda s: s["passed"])
+    added = F.coalesce(plain(F.transform(found, lambda s: s["tested"])), F.array().cast("array<struct<start:int,kind_no:int,stop:int>>"))
     spans = F.array_sort(F.concat(plain(F.col("base")), added))
     return tested.withColumns({"base": plain(F.col("base")), "spans": spans}).drop("candidates", "tested")
 
 
-def found_in(text: Column, costs: tuple[float, float, float, float]) -> tuple[Column, Column]:
-    """Base spans and candidates of a text that isn't null."""
-    return base_spans(text).alias("base"), with_evidence(spans_of(text, CANDIDATE, "random"), costs).alias("candidates")
+def candidates(text: Column, costs: tuple[float, float, float, float]) -> Column:
+    """The battery's candidates in a text, with their evidence."""
+    return with_evidence(spans_of(text, CANDIDATE, "random"), costs)
+
+
+def found_in(rows: DataFrame, text: Column, costs: tuple[float, float, float, float]) -> DataFrame:
+    """Rows with ``base`` spans and ``candidates`` of a text that isn't null."""
+    based = rows.withColumn("base", base_spans(text))
+    clear = F.when(F.size("base") > 0, blanked(text)).otherwise(text)
+    # few texts hold a run that is long enough, so few are blanked
+    return based.withColumn("candidates", F.when(text.rlike(KEY + "{20}"), given(clear, lambda t: candidates(t, costs))))
 
 
 def scan(docs: DataFrame, rate: float = FALSE_DISCOVERY) -> DataFrame:
     """Documents -> doc_id, ``base`` and ``spans``: arrays of struct<start,kind_no,stop>, in order."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = materialise(docs.select("doc_id", *found_in(text, character_costs(docs))), "secrets")
+    found = materialise(found_in(docs.select("doc_id", text.alias("text")), F.col("text"), character_costs(docs)).drop("text"), "secrets")
     return marked(found, false_discovery_exponent(found.select(F.explode("candidates.exponent").alias("exponent")), rate))
 
 
 def redact(docs: DataFrame, rate: float = FALSE_DISCOVERY, stand_in: str = "[secret]") -> DataFrame:
     """Documents with every span replaced in ``text`` and ``n_chars`` counted anew, if there is such a column; no row is dropped.
 
+    Spans that overlap or touch are one gap.
     Texts are scanned once for the corpus's statistics and once to be changed where they are, so no text is shuffled.
     """
-    columns, costs = docs.columns, character_costs(docs)
-    evidence = docs.filter(F.col("text").rlike(CANDIDATE)).select(with_evidence(spans_of(F.col("text"), CANDIDATE, "random"), costs)["exponent"].alias("e"))
-    cut = false_discovery_exponent(evidence.select(F.explode("e").alias("exponent")), rate)
-    names = {c: f"doc_{i}" for i, c in enumerate(columns)}  # the operator's own columns can't clash with these
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(*[F.col(c).alias(n) for c, n in names.items()], *found_in(text, costs))
-    body = F.col(names["text"])
+    costs = character_costs(docs)
+    runs = docs.filter(F.col("text").rlike(KEY + "{20}")).select("text")
+    evidence = found_in(runs, F.col("text"), costs).select(F.explode("candidates.exponent").alias("exponent"))
+    cut = false_discovery_exponent(evidence, rate)
+    body = C.own("text")
+    rows = found_in(C.hidden(docs).withColumn("whole", F.coalesce(body, F.lit(""))), F.col("whole"), costs)
 
     def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["at"]
-        between = F.when(fresh, F.concat(F.substring(body, state["at"] + 1, span["start"] - state["at"]), F.lit(stand_in))).otherwise("")
-        return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), F.concat(state["out"], between).alias("out"))
+        between = F.concat(state["out"], F.substring(body, state["at"] + 1, span["start"] - state["at"]), F.lit(stand_in))
+        return F.struct(F.greatest(state["at"], span["stop"]).alias("at"), F.when(span["start"] >= state["at"], between).otherwise(state["out"]).alias("out"))
+
+    def gap(piece: Column, i: Column) -> Column:
+        return F.when((i % 2 == 1) & F.get("passed", F.floor(i / 2).cast("int")), F.repeat(F.lit(STAND_IN), F.char_length(piece))).otherwise(piece)
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cleaned = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.char_length(body))))
-    out = marked(rows, cut).withColumn(names["text"], F.when(F.size("spans") > 0, cleaned).otherwise(body))
-    if "n_chars" in names:
-        out = out.withColumn(names["n_chars"], F.when(F.size("spans") > 0, F.char_length(names["text"]).cast("long")).otherwise(F.col(names["n_chars"])))
-    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
+    folded = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.char_length(body))))
+    gaps = F.array_join(F.transform(pieces_of(given(blanked(body), lambda t: t), CANDIDATE), gap), "")
+    cleaned = F.regexp_replace(gaps, f"{STAND_IN}+", stand_in.replace("\\", "\\\\").replace("$", "\\$"))
+    # a text that holds the marks itself is folded span by span
+    text = F.when(F.size("spans") == 0, body).when(body.rlike(f"[{MARK}{STAND_IN}]"), folded).otherwise(cleaned)
+    out = marked(rows, cut).withColumn("text", text)
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.char_length("text").cast("long")).otherwise(C.own("n_chars"))
+    return C.shown(out, docs.columns, **changed)
 
 
 def rendered(spans: Column) -> Column:

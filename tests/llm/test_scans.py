@@ -1,12 +1,16 @@
 """License scans, secret scans and mixing against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from seatloom.llm import license_scan, mixing, secret_scan
@@ -25,13 +29,16 @@ def brute_license(doc_id, text):
 
 
 def brute_templates(text):
-    gap = re.compile(license_scan.GAP)
-    out = {}
-    for name, words in license_scan.word_sets(license_scan.TEMPLATES).items():
-        for line in (text or "").translate(LOW).split("\n"):
-            share = len(set(gap.split(line)) & set(words)) / len(words)
-            if share >= license_scan.THRESHOLD - 1e-9:
-                out[name] = max(out.get(name, 0), share)
+    """By the definition: any run of at most 1.5 times the template's words that holds 0.8 of its distinct words and all required ones."""
+    find = lambda t: re.findall(license_scan.WORD, (t or "").translate(LOW))
+    words, out = find(text), {}
+    for name, (template, required) in license_scan.TEMPLATES.items():
+        own, must = set(find(template)), set(find(required))
+        length = -(-3 * len(find(template)) // 2)
+        for i in range(len(words)):
+            held = set(words[i : i + length]) & own
+            if must <= held and len(held) / len(own) >= license_scan.THRESHOLD - 1e-9:
+                out[name] = max(out.get(name, 0), len(held) / len(own))
     return out
 
 
@@ -47,7 +54,8 @@ def test_license_scan(spark, odd, none, real):
         assert Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got) == Counter(brute_license(*t) for t in texts)
         want = Counter((d, ",".join(sorted(set(brute_license(d, t)[5].split(",")) - {""} | set(brute_templates(t))))) for d, t in texts)
         assert Counter((r.doc_id, r.labels) for r in got) == want
-        assert all(0 <= r.score <= 1 for r in got)
+        score = lambda d, t: 1.0 if brute_license(d, t)[2] else max(brute_templates(t).values(), default=0.0)
+        assert Counter((r.doc_id, round(r.score, 9)) for r in got) == Counter((d, round(score(d, t), 9)) for d, t in texts)
     assert license_scan.scan(none).count() == 0
 
 
@@ -65,6 +73,29 @@ def test_license_scan_of_wrapped_notices(spark):
     assert got == {1: "mit-grant", 2: "bsd", 3: "apache-2.0", 4: "", 5: "bsd", 6: "mit", 7: ""}
 
 
+def test_license_scan_tells_kin_apart(spark):
+    """False hits that word bags give: variants of one license, long lines that hold a template's words far apart."""
+    rows = [
+        (1, "Licensed under CC BY-SA 4.0"), (2, "Licensed under CC BY-NC 4.0."), (3, "the notes released last week fall under a driving license of the state"),
+        (4, "Released under the terms of the MIT License"), (5, "Released " + "and so on " * 20 + "under the MIT License"), (6, "license MIT the under released"),
+        (7, "copyright notices: all of the rights are reserved"), (8, "Copyright 2020, all rights are reserved"), (9, "CC BY 4.0 licensed under"),
+    ]
+    got = {r.doc_id: r.labels for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {d: ",".join(sorted(set(brute_license(d, t)[5].split(",")) - {""} | set(brute_templates(t)))) for d, t in rows}
+    assert got == want
+    assert [want[i] for i in (1, 2, 3, 4, 5, 6)] == ["cc-by,cc-by-sa", "cc-by,cc-by-nc", "", "mit", "mit", "mit"] and want[9] == "cc-by"
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from("licensed under cc by nc sa 4 0 the mit license released x y\n".split(" ")), max_size=40), min_size=1, max_size=12))
+def test_license_scan_of_any_words(spark, texts):
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, t in rows:
+        base, added = brute_license(d, t), brute_templates(t)
+        assert got[d] == (",".join(sorted(set(base[5].split(",")) - {""} | set(added))), 1.0 if base[2] else round(max(added.values(), default=0.0), 9))
+
+
 def brute_base(text):
     text = text or ""
     spans = []
@@ -102,6 +133,66 @@ def test_secret_base(odd, none, real, secrets):
     assert secret_scan.scan(none).count() == 0
 
 
+def brute_added(texts, rate=0.001):
+    """Spans of the randomness battery by its definition, for each text."""
+    every = "".join(t or "" for t in texts)
+    classes = ((string.ascii_lowercase, 26), (string.ascii_uppercase, 26), (string.digits, 10), ("+/_-", 4))
+    seen = [sum(map(every.count, letters)) + 1 for letters, _ in classes]
+    costs = [-math.log(n / sum(seen) / size) for n, (_, size) in zip(seen, classes, strict=True)]
+    alphabets = {16: "0123456789abcdef", 32: string.ascii_uppercase + "234567", 36: string.digits + string.ascii_lowercase, 64: string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"}
+    found = []
+    for d, t in enumerate(texts):
+        base = brute_base(t)
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t or ""):
+            if any(s < m.end() and m.start() < e for s, _, e in base):
+                continue
+            v = m[0].rstrip("=")
+            k = 16 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", v) else 32 if re.fullmatch("[A-Z2-7]+", v) else 36 if re.fullmatch("[0-9a-z]+", v) else 64
+            ratio = sum(c * sum(x in letters for x in v) for c, (letters, _) in zip(costs, classes, strict=True)) - len(v) * math.log(k)
+            letters = alphabets[k].upper() if k == 16 and v != v.lower() else alphabets[k]
+            codes = [letters.find(c) for c in v.replace("-", "+").replace("_", "/")]
+            n, mean, h = len(codes), sum(codes) / max(len(codes), 1), sum(c >= k / 2 for c in codes)
+            squares = sum(codes.count(c) ** 2 for c in set(codes))
+            ok = False
+            if n > 1 and 0 < h < n and len(set(codes)) > 1:
+                f, mu = k - 1, 2 * h * (n - h) / n
+                z = [(((squares * k / n - n) / f) ** (1 / 3) - (1 - 2 / (9 * f))) / math.sqrt(2 / (9 * f)) if squares * k / n >= n else -9.0]
+                runs = 1 + sum((a >= k / 2) != (b >= k / 2) for a, b in zip(codes, codes[1:], strict=False))
+                var = mu * (mu - 1) / (n - 1)
+                z.append((runs - 1 - mu) / math.sqrt(var) if var > 0 else 9.0)
+                z.append(sum((a - mean) * (b - mean) for a, b in zip(codes[1:], codes, strict=False)) / sum((c - mean) ** 2 for c in codes) * math.sqrt(n))
+                ok = all(abs(x) < 3.2905 for x in z)
+            found.append((d, m.start(), m.end(), max(0, min(400, math.floor(ratio))), ok))
+    cut = 401
+    for t in range(400, 0, -1):
+        above = sum(e >= t for *_, e, _ in found)
+        if above and math.exp(-t) <= rate * above / len(found):
+            cut = t
+    return {d: {(s, e) for i, s, e, x, ok in found if i == d and ok and x >= cut} for d in range(len(texts))}
+
+
+def test_secret_added_spans(odd, real, secrets):
+    for docs in (odd, real, secrets):
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        want = brute_added([t for _, t in rows])
+        got = secret_scan.scan(docs).collect()
+        found = Counter((r.doc_id, tuple((s.start, s.stop) for s in r.spans if s.kind_no == 3)) for r in got)
+        assert found == Counter((d, tuple(sorted(want[i]))) for i, (d, _) in enumerate(rows))
+    assert sum(len(v) for v in want.values()) >= 27
+
+
+def test_secret_scan_of_a_text_of_keys(spark):
+    """Two megabytes of keys in one text: the work grows with the length of the text alone."""
+    rng = random.Random(7)
+    text = "\n".join("".join(rng.choices("0123456789abcdef", k=40)) + (" token=abcdef" if i % 9 == 0 else "") for i in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    got = secret_scan.digest(secret_scan.scan(docs)).first()
+    assert (got.n_hex, got.n_assign) == (50_000, 5_556) and time.monotonic() - began < 40
+    clean = secret_scan.redact(docs).first().text
+    assert clean.count("[secret]") == 55_556 and len(clean) == len("\n".join("[secret]" + (" [secret]" if i % 9 == 0 else "") for i in range(50_000)))
+
+
 def test_secret_battery_finds_random_keys_alone(secrets):
     got = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.scan(secrets)).collect()}
     assert sum("random:" in got[i] for i in range(30)) >= 27
@@ -163,3 +254,14 @@ def test_mixing(spark, odd, none, real):
 
 def test_mixing_ignores_clashing_names(odd):
     assert mixing.mixed(odd.withColumn("size", F.lit(1)).withColumn("taken", F.lit(2))).filter("taken = 2 AND size = 1").count() == 0
+    names = [*(f"m_{n}" for n in ("id", "source", "size", "key", "part", "taken")), *(f"c_{n}" for n in ("source", "range", "size", "target", "epochs", "rest", "split"))]
+    clashing = mixing.mixed(odd.withColumns({n: F.lit("own") for n in names}))
+    assert clashing.columns == [*odd.columns, *names, "size", "taken"]
+    assert {r[n] for r in clashing.collect() for n in names} == {"own"}
+    assert Counter(r.taken for r in clashing.collect()) == Counter(r.taken for r in mixing.mixed(odd).collect())
+
+
+def test_mixing_spreads_rows_of_no_id(spark):
+    docs = spark.createDataFrame([(None, f"word {i} {'more ' * (i % 5)}", "a") for i in range(300)], "doc_id long, text string, source string")
+    assert mixing.keyed(docs).select("m_key").distinct().count() == 300
+    assert sum(r.taken for r in mixing.mix(docs).collect()) == sum(r.size for r in mixing.mix(docs).collect())
