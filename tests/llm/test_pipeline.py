@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from seatloom.llm import secret_scan, shingle_dedup
@@ -31,6 +32,18 @@ def test_stages_take_odd_documents(spark, odd, none, sf_dir, name):
     assert stage(spark, none, sf_dir).count() == 0
 
 
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_clashing_names(spark, odd, sf_dir, name):
+    """Columns named like those an operator adds stay what they are."""
+    names = ["leak_id", "item_id", "found", "row_key", "gone_key", "kept_key", "twice_key", "fp", "bands", "m_size", "m_key", "c_size", "c_range", "base", "spans", "candidates", "passed", "whole", "key", "lang_pred"]
+    docs = odd.withColumns({n: F.lit("own") for n in names})
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, sf_dir)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    rows = out.collect()
+    assert {r[n] for r in rows for n in names} == {"own"}
+    assert len(rows) == dict(corpus_pipeline.STAGES)[name](spark, odd, sf_dir).count()
+
+
 def jaccard(a, b):
     x, y = (set(zip(*(w[i:] for i in range(5)), strict=False)) for w in (a.split(), b.split()))
     return len(x & y) / len(x | y)
