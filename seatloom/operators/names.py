@@ -23,7 +23,8 @@ aggregate(sequence(0, size(parts) - 1), named_struct('next', 0, 'out', cast(arra
 def split_names(rows: DataFrame, key: str, names: str, known: DataFrame, alias: str, shortest: bool = False) -> DataFrame:
     """Comma lists of names, which can hold commas themselves -> key, people (array), by the longest (or shortest) known runs.
 
-    Candidate runs are joined with the aliases on equality; lists are short texts, so a row gives few runs.
+    A text that is an alias as a whole is one person. Candidate runs are joined with the aliases on equality; lists are short texts, so a
+    row gives few runs.
     """
     listed = rows.select(F.col(key), F.col(names).alias("text"), T.listed(F.col(names)).alias("parts"))
     runs = listed.filter(F.size("parts") > 0).select(key, "parts", F.explode(F.sequence(F.lit(0), F.size("parts") - 1)).alias("i"))
@@ -32,23 +33,35 @@ def split_names(rows: DataFrame, key: str, names: str, known: DataFrame, alias:
     aliases = known.select(F.upper(F.trim(alias)).alias("run")).distinct()
     pick = F.min if shortest else F.max
     ends = runs.join(aliases, "run").groupBy(key, "i").agg(pick("j").alias("j")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "j"))).alias("ends"))
+    whole = aliases.select(F.col("run").alias("whole"))
     joined = listed.join(ends, key, "left").withColumn("ends", F.coalesce("ends", F.create_map().cast("map<int,int>")))
-    return joined.select(key, F.when(F.size("parts") > 0, F.expr(_FOLD)).otherwise(F.array().cast("array<string>")).alias("people"))
+    joined = joined.join(whole, F.upper(F.trim("text")) == F.col("whole"), "left")
+    folded = F.when(F.size("parts") > 0, F.expr(_FOLD)).otherwise(F.array().cast("array<string>"))
+    return joined.select(key, F.when(F.col("whole").isNotNull(), F.array(F.trim("text"))).otherwise(folded).alias("people"))
 
 
-def resolve(rows: DataFrame, key: str, name: str, people: DataFrame, person: str, known_as: str) -> DataFrame:
-    """Names -> key, person, strategy (0 literal to 4 by variation, 5 by subset of at least two words); null where none fits.
+def resolve(
+    rows: DataFrame, key: str, name: str, people: DataFrame, person: str, known_as: str, session: DataFrame | None = None, valid: DataFrame | None = None
+) -> DataFrame:
+    """Names -> key, person, strategy (0 literal to 5 by variation, 6 by subset of at least two words, 7 to 12 among people new in this run).
 
-    The subset match is an equality join on words with a count, not a comparison of all pairs.
+    Null where none fits. ``session``: people new in this run, (person, known_as); ``valid``: the persons that count, a match with any other is passed
+    over. The subset match is an equality join on words with a count, not a comparison of all pairs.
     """
     asked = rows.select(F.col(key).alias("k"), F.col(name).alias("n")).filter(~T.is_unset(F.col("n")))
-    known = people.select(F.col(person).alias("p"), F.upper(F.trim(known_as)).alias("alias"))
+    alias = lambda df: df.select(F.col(person).alias("p"), F.upper(F.trim(known_as)).alias("alias"))
+    known = alias(people)
+    if valid is not None:
+        known = known.join(valid.select(F.col(person).alias("p")), "p", "left_semi")
     forms = asked.select("k", F.posexplode(T.name_variations(F.col("n"))).alias("strategy", "alias"))
-    direct = forms.join(known, "alias").select("k", "p", "strategy")
-    words = lambda c: F.array_distinct(F.filter(F.split(F.regexp_replace(F.upper(c), "[^A-Z0-9 ]", " "), " +"), lambda w: w != ""))
+    found = forms.join(known, "alias").select("k", "p", "strategy")
+    words = lambda c: F.array_distinct(F.filter(F.split(F.replace(F.upper(c), F.lit(","), F.lit(" ")), r"\s+"), lambda w: w != ""))
     left = asked.select("k", words(F.col("n")).alias("w")).filter(F.size("w") >= 2)
-    right = known.select("p", F.explode(words(F.col("alias"))).alias("word")).distinct()
-    hits = left.select("k", F.size("w").alias("need"), F.explode("w").alias("word")).join(right, "word").groupBy("k", "p", "need").count()
-    subset = hits.filter(F.col("count") == F.col("need")).select("k", "p", F.lit(5).alias("strategy"))
-    best = first_per_key(direct.unionByName(subset), ["k"], [F.col("strategy"), F.col("p")])
+    # each alias by itself: words of two aliases of one person don't add up
+    right = known.distinct().select("p", "alias", F.explode(words(F.col("alias"))).alias("word"))
+    hits = left.select("k", F.size("w").alias("need"), F.explode("w").alias("word")).join(right, "word").groupBy("k", "p", "alias", "need").count()
+    found = found.unionByName(hits.filter(F.col("count") == F.col("need")).select("k", "p", F.lit(6).alias("strategy")))
+    if session is not None:
+        found = found.unionByName(forms.join(alias(session), "alias").select("k", "p", (F.col("strategy") + 7).alias("strategy")))
+    best = first_per_key(found, ["k"], [F.col("strategy"), F.col("p")])
     return rows.select(F.col(key)).join(best, F.col(key) == F.col("k"), "left").select(key, F.col("p").alias(person), "strategy")
