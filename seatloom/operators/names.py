@@ -48,20 +48,20 @@ def resolve(
     Null where none fits. ``session``: people new in this run, (person, known_as); ``valid``: the persons that count, a match with any other is passed
     over. The subset match is an equality join on words with a count, not a comparison of all pairs.
     """
-    asked = rows.select(F.col(key).alias("k"), F.col(name).alias("n")).filter(~T.is_unset(F.col("n")))
-    alias = lambda df: df.select(F.col(person).alias("p"), F.upper(F.trim(known_as)).alias("alias"))
+    asked = rows.select(F.col(key).alias("r_k"), F.col(name).alias("n")).filter(~T.is_unset(F.col("n")))
+    alias = lambda df: df.select(F.col(person).alias("r_p"), F.upper(F.trim(known_as)).alias("alias"))
     known = alias(people)
     if valid is not None:
-        known = known.join(valid.select(F.col(person).alias("p")), "p", "left_semi")
-    forms = asked.select("k", F.posexplode(T.name_variations(F.col("n"))).alias("strategy", "alias"))
-    found = forms.join(known, "alias").select("k", "p", "strategy")
+        known = known.join(valid.select(F.col(person).alias("r_p")), "r_p", "left_semi")
+    forms = asked.select("r_k", F.posexplode(T.name_variations(F.col("n"))).alias("strategy", "alias"))
+    found = forms.join(known, "alias").select("r_k", "r_p", "strategy")
     words = lambda c: F.array_distinct(F.filter(F.split(F.replace(F.upper(c), F.lit(","), F.lit(" ")), r"\s+"), lambda w: w != ""))
-    left = asked.select("k", words(F.col("n")).alias("w")).filter(F.size("w") >= 2)
+    left = asked.select("r_k", words(F.col("n")).alias("w")).filter(F.size("w") >= 2)
     # each alias by itself: words of two aliases of one person don't add up
-    right = known.distinct().select("p", "alias", F.explode(words(F.col("alias"))).alias("word"))
-    hits = left.select("k", F.size("w").alias("need"), F.explode("w").alias("word")).join(right, "word").groupBy("k", "p", "alias", "need").count()
-    found = found.unionByName(hits.filter(F.col("count") == F.col("need")).select("k", "p", F.lit(6).alias("strategy")))
+    right = known.distinct().select("r_p", "alias", F.explode(words(F.col("alias"))).alias("word"))
+    hits = left.select("r_k", F.size("w").alias("need"), F.explode("w").alias("word")).join(right, "word").groupBy("r_k", "r_p", "alias", "need").count()
+    found = found.unionByName(hits.filter(F.col("count") == F.col("need")).select("r_k", "r_p", F.lit(6).alias("strategy")))
     if session is not None:
-        found = found.unionByName(forms.join(alias(session), "alias").select("k", "p", (F.col("strategy") + 7).alias("strategy")))
-    best = first_per_key(found, ["k"], [F.col("strategy"), F.col("p")])
-    return rows.select(F.col(key)).join(best, F.col(key) == F.col("k"), "left").select(key, F.col("p").alias(person), "strategy")
+        found = found.unionByName(forms.join(alias(session), "alias").select("r_k", "r_p", (F.col("strategy") + 7).alias("strategy")))
+    best = first_per_key(found, ["r_k"], [F.col("strategy"), F.col("r_p")])
+    return rows.select(F.col(key)).join(best, F.col(key) == F.col("r_k"), "left").select(key, F.col("r_p").alias(person), "strategy")

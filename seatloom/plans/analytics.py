@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seatloom.functions import text as T
+from seatloom.operators import ranks
 from seatloom.operators import tables as op
 from seatloom.plans.registry import query
 from seatloom.runtime import table
@@ -45,9 +46,9 @@ l AS (SELECT *, lag(med) OVER (ORDER BY year, quarter) AS before FROM s)
 SELECT year, quarter, round(med, 6) AS med, round(mean, 7) AS mean, round(sd, 4) AS sd, n,
        round(CASE WHEN before > 0 THEN (med - before) / before * 100 ELSE 0 END, 6) AS change FROM l""")
 def semester_stats(spark: SparkSession, sf: str) -> DataFrame:
-    s = orders(spark, sf).filter("o_totalprice > 0").groupBy("year", "quarter").agg(
-        F.median("o_totalprice").alias("med"), F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("sd"), F.count("*").alias("n")
-    )
+    rows = orders(spark, sf).filter("o_totalprice > 0")
+    s = rows.groupBy("year", "quarter").agg(F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("sd"))
+    s = s.join(ranks.median_of(rows, ["year", "quarter"], "o_totalprice", "med"), ["year", "quarter"])
     before = F.lag("med").over(Window.orderBy("year", "quarter"))  # a row a term
     return s.withColumn("before", before).select("year", "quarter", r6(F.col("med")).alias("med"), F.round("mean", 7).alias("mean"), F.round("sd", 4).alias("sd"), "n",
                                                  r6(T.percent_change(F.col("med"), F.col("before"))).alias("change"))
@@ -59,7 +60,7 @@ l AS (SELECT *, lag(med) OVER (ORDER BY year) AS before FROM s),
 c AS (SELECT pow(arg_max(med, year) / arg_min(med, year), 1.0::DOUBLE / (count(*) - 1)) - 1 AS cagr FROM s)
 SELECT year, round(med, 6) AS med, round(CASE WHEN before > 0 THEN (med - before) / before * 100 ELSE 0 END, 6) AS change, round(cagr, 6) AS cagr FROM l, c""")
 def annual_inflation(spark: SparkSession, sf: str) -> DataFrame:
-    s = orders(spark, sf).groupBy("year").agg(F.median("o_totalprice").alias("med"))
+    s = ranks.median_of(orders(spark, sf), ["year"], "o_totalprice", "med").select("year", "med")
     every = Window.partitionBy()  # a row a year
     cagr = F.pow(F.max_by("med", "year").over(every) / F.min_by("med", "year").over(every), F.try_divide(F.lit(1.0), F.count("*").over(every) - 1)) - 1
     l = s.withColumn("before", F.lag("med").over(Window.orderBy("year")))
@@ -72,7 +73,7 @@ l AS (SELECT *, lag(med) OVER (PARTITION BY o_orderpriority ORDER BY l_linenumbe
 SELECT o_orderpriority, l_linenumber, round(med, 6) AS med, n, round(CASE WHEN before > 0 THEN (med - before) / before * 100 ELSE 0 END, 6) AS change FROM l""")
 def round_window_inflation(spark: SparkSession, sf: str) -> DataFrame:
     j = table(spark, sf, "orders").join(table(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    s = j.groupBy("o_orderpriority", "l_linenumber").agg(F.median("l_extendedprice").alias("med"), F.count("*").alias("n"))
+    s = ranks.median_of(j, ["o_orderpriority", "l_linenumber"], "l_extendedprice", "med")
     l = s.withColumn("before", F.lag("med").over(Window.partitionBy("o_orderpriority").orderBy("l_linenumber")))
     return l.select("o_orderpriority", "l_linenumber", r6(F.col("med")).alias("med"), "n", r6(T.percent_change(F.col("med"), F.col("before"))).alias("change"))
 
@@ -113,7 +114,7 @@ SELECT day::INTEGER AS day, round(median(med), 6) AS med, count(*) AS parts FROM
 def day_median(spark: SparkSession, sf: str) -> DataFrame:
     day = ((F.dayofweek("l_shipdate") + 5) % 7 + 1).alias("day")
     m = table(spark, sf, "lineitem").groupBy("l_partkey", day).agg(F.median("l_extendedprice").alias("med"))
-    return m.groupBy("day").agg(r6(F.median("med")).alias("med"), F.count("*").alias("parts"))
+    return ranks.median_of(m, ["day"], "med", "mid").select("day", r6(F.col("mid")).alias("med"), F.col("n").alias("parts"))
 
 
 @query("""
@@ -152,9 +153,9 @@ def value_counts_pct(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""SELECT floor(l_quantity / 10)::BIGINT AS bin, (floor(l_quantity / 10) * 10 + 5)::DOUBLE AS middle, round(median(l_extendedprice), 6) AS med, count(*) AS n FROM lineitem GROUP BY ALL""")
 def bins_median(spark: SparkSession, sf: str) -> DataFrame:
-    b = F.floor(F.col("l_quantity") / 10).alias("bin")
-    g = table(spark, sf, "lineitem").groupBy(b).agg(r6(F.median("l_extendedprice")).alias("med"), F.count("*").alias("n"))
-    return g.select("bin", (F.col("bin") * 10 + 5).cast("double").alias("middle"), "med", "n")
+    rows = table(spark, sf, "lineitem").select(F.floor(F.col("l_quantity") / 10).alias("bin"), "l_extendedprice")
+    g = ranks.median_of(rows, ["bin"], "l_extendedprice", "mid")
+    return g.select("bin", (F.col("bin") * 10 + 5).cast("double").alias("middle"), r6(F.col("mid")).alias("med"), "n")
 
 
 @query("""

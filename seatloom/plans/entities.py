@@ -22,14 +22,27 @@ def majority_faculty(spark: SparkSession, sf: str) -> DataFrame:
     return op.first_per_key(c, ["prefix"], [F.desc("n"), F.col("seen")]).join(u, "prefix").select("prefix", "faculty", "n", "unanimous")
 
 
-@query()
+# the lists as text, and the walk over them: the longest (or shortest) known run from each place on, unknown single words to the name before
+_WALK = """,
+a AS (SELECT DISTINCT upper(trim(name)) AS alias FROM s), p AS (SELECT s_suppkey, names, list_filter(list_transform(string_split(names, ','), lambda x: trim(x)), lambda x: x <> '') AS parts FROM lists),
+r AS (SELECT s_suppkey, i, j FROM (SELECT s_suppkey, parts, unnest(range(0, len(parts))) AS i FROM p), (SELECT unnest(range(1, 12)) AS j) WHERE j > i AND j <= len(parts) AND upper(array_to_string(parts[i + 1:j], ', ')) IN (SELECT alias FROM a)),
+e AS (SELECT s_suppkey, i, {pick}(j) AS j FROM r GROUP BY ALL),
+w AS (SELECT s_suppkey, parts, 0::BIGINT AS i, []::VARCHAR[] AS out FROM p UNION ALL
+  SELECT w.s_suppkey, parts, CASE WHEN e.j IS NOT NULL THEN e.j ELSE w.i + 1 END, CASE WHEN e.j IS NOT NULL THEN list_append(out, array_to_string(parts[w.i + 1:e.j], ', '))
+    WHEN len(out) > 0 AND NOT contains(parts[w.i + 1], ' ') THEN list_append(out[1:len(out) - 1], out[len(out)] || ', ' || parts[w.i + 1]) ELSE list_append(out, parts[w.i + 1]) END
+  FROM w LEFT JOIN e ON e.s_suppkey = w.s_suppkey AND e.i = w.i WHERE w.i < len(parts))
+SELECT s_suppkey, CASE WHEN upper(trim(names)) IN (SELECT alias FROM a) THEN [trim(names)] ELSE out END AS people FROM w JOIN p USING (s_suppkey) WHERE w.i >= len(w.parts)"""
+_NAMES = "WITH RECURSIVE s AS (SELECT s_suppkey, replace(s_name, '#', ', ') AS name FROM supplier)"
+
+
+@query(_NAMES + ", lists AS (SELECT s_suppkey, name || ', Jr, Unknown Person, ' || lead(name, 1, 'Nobody') OVER (PARTITION BY s_suppkey % 10 ORDER BY s_suppkey) AS names FROM s)" + _WALK.replace("{pick}", "max"))
 def name_greedy_split(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").select("s_suppkey", F.replace("s_name", F.lit("#"), F.lit(", ")).alias("name"))
     lists = s.select("s_suppkey", F.concat("name", F.lit(", Jr, Unknown Person, "), F.lead("name", 1, "Nobody").over(Window.partitionBy(F.col("s_suppkey") % 10).orderBy("s_suppkey"))).alias("names"))
     return N.split_names(lists, "s_suppkey", "names", s, "name")
 
 
-@query()
+@query(_NAMES + ", lists AS (SELECT s_suppkey, name AS names FROM s)" + _WALK.replace("{pick}", "min"))
 def shortest_split(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").select("s_suppkey", F.replace("s_name", F.lit("#"), F.lit(", ")).alias("name"))
     return N.split_names(s, "s_suppkey", "name", s, "name", shortest=True)
@@ -37,7 +50,7 @@ def shortest_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 3 THEN NULL ELSE s_suppkey END AS person,
-       CASE s_suppkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 3 WHEN 2 THEN 5 END AS strategy FROM supplier""")
+       CASE s_suppkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 3 WHEN 2 THEN 6 END AS strategy FROM supplier""")
 def name_resolution(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier").select("s_suppkey", F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("no"))
     known = s.select(F.col("s_suppkey").alias("person"), F.when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("SUPPLIER"), "no")).otherwise(F.concat(F.lit("Supplier "), "no")).alias("alias"))
@@ -67,14 +80,6 @@ def html_extract(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""SELECT doc_id, md5(replace(replace(replace(text, 'é', 'e'), 'ü', 'u'), chr(10), ' ')) AS cleaned FROM documents""")
-def mojibake_clean(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    for bad, good in (("é", "e"), ("ü", "u"), ("\n", " ")):
-        t = F.replace(t, F.lit(bad), F.lit(good))
-    return table(spark, sf, "documents").select("doc_id", F.md5(t).alias("cleaned"))
-
-
 @query(r"""
 SELECT page_id, regexp_extract(url, '://([^/]+)', 1) AS host, nullif(regexp_extract(url, '/(\d+)', 1), '')::INTEGER AS no,
        nullif(regexp_extract(url, '/(en|fr|de|es)/', 1), '') AS code, coalesce(url LIKE '%.html%', false) AS is_html FROM pages""")

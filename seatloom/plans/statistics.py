@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seatloom.functions import text as T
+from seatloom.operators import ranks
 from seatloom.plans.registry import query
 from seatloom.runtime import table
 
@@ -55,9 +56,11 @@ SELECT round(avg(e * e), 2) AS mse, round(avg(abs(e)), 4) AS mae, round(1 - sum(
 def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500).alias("p")).withColumn("e", F.col("p") - F.col("y"))
     e = F.col("e")
-    return d.agg(F.round(F.avg(e * e), 2).alias("mse"), F.round(F.avg(F.abs(e)), 4).alias("mae"), r6(1 - F.sum(e * e) / (F.var_pop("y") * F.count("*"))).alias("r2"),
-                 F.round(F.avg(F.when(e < 0, 2 * e * e).otherwise(e * e)), 2).alias("asymmetric"), F.round(F.median(e), 4).alias("med"), r6(F.avg((e < 0).cast("int"))).alias("under"),
-                 r6(F.avg(F.pow(F.log(1 + F.col("p")) - F.log(1 + F.col("y")), 2))).alias("msle"))
+    middle = ranks.median_of(d, [], "e", "middle").select(F.round("middle", 4).alias("med"))
+    one = d.agg(F.round(F.avg(e * e), 2).alias("mse"), F.round(F.avg(F.abs(e)), 4).alias("mae"), r6(1 - F.sum(e * e) / (F.var_pop("y") * F.count("*"))).alias("r2"),
+                 F.round(F.avg(F.when(e < 0, 2 * e * e).otherwise(e * e)), 2).alias("asymmetric"), r6(F.avg((e < 0).cast("int"))).alias("under"),
+                r6(F.avg(F.pow(F.log(1 + F.col("p")) - F.log(1 + F.col("y")), 2))).alias("msle"))
+    return one.crossJoin(F.broadcast(middle))  # one row each
 
 
 @query("""
@@ -92,8 +95,9 @@ WITH q AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s, quantil
 SELECT unnest(range(1, 100))::INTEGER AS pct, round(unnest(list_transform(v, lambda x: (x - m) / s)), 6) AS multiplier FROM q""")
 def percentile_multipliers(spark: SparkSession, sf: str) -> DataFrame:
     x = F.col("o_totalprice")
-    q = table(spark, sf, "orders").agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"), F.percentile(x, F.array(*[F.lit(i / 100.0) for i in range(1, 100)])).alias("v"))
-    return q.select(F.posexplode("v").alias("i", "x"), "m", "s").select((F.col("i") + 1).alias("pct"), r6(F.when(F.col("s") > 0, (F.col("x") - F.col("m")) / F.col("s")).otherwise(0.0)).alias("multiplier"))
+    o = table(spark, sf, "orders").select("o_totalprice")
+    q = ranks.quantiles(o, [], "o_totalprice", [i / 100 for i in range(1, 100)]).select("q").crossJoin(F.broadcast(o.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"))))  # one row each
+    return q.select(F.posexplode("q").alias("i", "x"), "m", "s").select((F.col("i") + 1).alias("pct"), r6(F.when(F.col("s") > 0, (F.col("x") - F.col("m")) / F.col("s")).otherwise(0.0)).alias("multiplier"))
 
 
 @query("""
@@ -134,9 +138,15 @@ def skew_kurt_jb(spark: SparkSession, sf: str) -> DataFrame:
 WITH r AS (SELECT o_orderpriority, o_totalprice, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) AS i FROM orders)
 SELECT o_orderpriority, round(regr_r2(o_totalprice, i), 5) AS r2 FROM r GROUP BY ALL""")
 def rank_fit_r2(spark: SparkSession, sf: str) -> DataFrame:
-    w = Window.partitionBy("o_orderpriority").orderBy("o_totalprice")
-    r = table(spark, sf, "orders").select("o_orderpriority", "o_totalprice", F.row_number().over(w).alias("i"))
-    return r.groupBy("o_orderpriority").agg(F.round(F.regr_r2("o_totalprice", "i"), 5).alias("r2"))
+    """Ranks of equal values sum up, so values are ranked with their counts, in ranges, and no group is sorted in one task."""
+    r = ranks.counted_ranks(table(spark, sf, "orders"), ["o_orderpriority"], "o_totalprice")
+    n, x, before = F.col("n").cast("double"), F.col("o_totalprice"), F.col("before").cast("double")
+    of_ranks = n * before + n * (n + 1) / 2
+    of_squares = n * before * before + before * n * (n + 1) + n * (n + 1) * (2 * n + 1) / 6
+    g = r.groupBy("o_orderpriority").agg(F.sum(n).alias("n"), F.sum(of_ranks).alias("i"), F.sum(of_squares).alias("ii"), F.sum(n * x).alias("x"), F.sum(n * x * x).alias("xx"), F.sum(of_ranks * x).alias("ix"))
+    c = F.col
+    both = c("n") * c("ix") - c("i") * c("x")
+    return g.select("o_orderpriority", F.round(both * both / ((c("n") * c("ii") - c("i") * c("i")) * (c("n") * c("xx") - c("x") * c("x"))), 5).alias("r2"))
 
 
 @query("""

@@ -38,8 +38,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Append rows whose key the table does not hold yet, one for each key of equal rows."""
-    fresh = df.dropDuplicates(keys)
+    """Append rows whose key the table does not hold yet, one for each key of equal rows. A row with a null in its key is always appended."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    fresh = df.filter(whole).dropDuplicates(keys).unionByName(df.filter(~whole))
     if exists(df.sparkSession, path):
         fresh = fresh.join(df.sparkSession.read.parquet(path).select(*keys), keys, "left_anti")
     fresh.write.mode("append").parquet(path)
@@ -59,3 +62,29 @@ def write_once(df: DataFrame, path: str, column: str, value: str) -> bool:
         return False
     df.drop(column).write.mode("overwrite").parquet(target)
     return True
+
+
+def merge_sheets(standalone: DataFrame, multiple: DataFrame, errors: DataFrame, folder: str, version: str) -> None:
+    """Three sheets of raw rows merged into those of ``folder``, each written as a new version beside the one that is read.
+
+    Standalone rows are appended unless their four-part key is there; the rows of a record in ``multiple`` replace those it had; errors are appended.
+    """
+    spark = standalone.sparkSession
+    latest = lambda name: f"{folder}/{name}"
+    key = ["acad_term_id", "course_code", "section", "bidding_window"]
+    append_new(standalone, latest("standalone"), key)
+    errors.write.mode("append").parquet(latest("errors"))
+    old = spark.read.parquet(f"{latest('multiple')}/*") if exists(spark, latest("multiple")) else None
+    if old is not None:
+        newest = old.withColumn("sheet_version", F.regexp_extract("_metadata.file_path", r"/version=([^/]+)/", 1))
+        newest = newest.join(newest.groupBy("record_key").agg(F.max("sheet_version").alias("sheet_version")), ["record_key", "sheet_version"]).drop("sheet_version")
+        same = lambda df: df.groupBy("record_key").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*sorted(multiple.columns)).cast("decimal(38,0)")).alias("h"))
+        multiple = multiple.join(same(multiple).join(same(newest), ["record_key", "n", "h"], "left_semi").select("record_key"), "record_key", "left_anti")
+    multiple.write.mode("errorifexists").parquet(f"{latest('multiple')}/version={version}")
+
+
+def read_multiple(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that ``merge_sheets`` left of each record: those of its newest version."""
+    rows = spark.read.parquet(f"{folder}/multiple/*").withColumn("sheet_version", F.regexp_extract("_metadata.file_path", r"/version=([^/]+)/", 1))
+    newest = rows.groupBy("record_key").agg(F.max("sheet_version").alias("sheet_version"))
+    return rows.join(newest, ["record_key", "sheet_version"]).drop("sheet_version")
