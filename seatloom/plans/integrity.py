@@ -261,7 +261,7 @@ def bid_result_merge(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 WITH RECURSIVE c AS (SELECT l_orderkey AS boss_id, list({'c': l_orderkey || '-' || l_linenumber, 'p': l_suppkey::VARCHAR} ORDER BY l_orderkey || '-' || l_linenumber, l_suppkey::VARCHAR) AS classes FROM lineitem WHERE l_linenumber % 2 = 0 GROUP BY ALL),
 f AS (SELECT l_orderkey AS boss_id, l_suppkey::VARCHAR AS p, min(l_linenumber) AS pos FROM lineitem GROUP BY ALL),
-g AS (SELECT f.boss_id, list(p ORDER BY pos) AS asked, any_value(coalesce(classes, [])) AS classes FROM f LEFT JOIN c USING (boss_id) GROUP BY ALL),
+g AS (SELECT f.boss_id, list(p ORDER BY pos, p) AS asked, any_value(coalesce(classes, [])) AS classes FROM f LEFT JOIN c USING (boss_id) GROUP BY ALL),
 w AS (SELECT boss_id, asked, classes, 0 AS i, []::VARCHAR[] AS used, NULL::VARCHAR AS class_id, NULL::VARCHAR AS professor_id, NULL::VARCHAR AS action FROM g UNION ALL
   SELECT boss_id, asked, classes, i + 1, CASE WHEN chosen IS NULL THEN used ELSE list_append(used, chosen) END, chosen, p,
     CASE WHEN chosen IS NULL THEN 'create' WHEN list_filter(classes, lambda x: x.c = chosen)[1].p = p THEN 'keep' ELSE 'update' END
