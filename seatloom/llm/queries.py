@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatloom.llm import decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, secret_scan, simhash, substring_dedup, topk_search, url_filter
+from seatloom.llm import conversation_repair, decontaminate, exact_dedup, html_extract, language_id, license_scan, mixing, ranked_search, secret_scan, simhash, substring_dedup, topk_search, url_filter
 from seatloom.runtime import table
 
 
@@ -57,12 +57,20 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.digest(conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_simhash_near_dedup, op3_language_id, op4_topk_search, op5_decontaminate,
         op6_url_filter, op7_license_scan, op8_mix_sources, op9_secret_scan, op10_html_extract,
-        op11_exact_dedup,
+        op11_exact_dedup, op12_ranked_search, op13_conversation_repair,
     )
 }
 
@@ -71,4 +79,5 @@ ORACLES = {
     "op6_url_filter": url_filter.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
     "op11_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_ranked_search": ranked_search.ORACLE_SQL,
 }
