@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from seatloom.domain import dims, facts, safety, schemas
 from seatloom.operators import tables as op
 from seatloom.runtime import materialise
-from seatloom.sources import sinks
+from seatloom.sources.versions import Versions
 
 #: Tables in the order in which they are written: dimensions before facts.
 ORDER = (
@@ -91,27 +91,22 @@ def run(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
 KEYS = {"courses": ["id"], "professors": ["id"], "classes": ["id"], "bid_results": ["bid_window_id", "class_id"]}
 
 
-def persist(results: dict[str, DataFrame], folder: str, version: str) -> list[str]:
-    """Write the run's tables below ``folder/<table>``, dimensions before facts; returns what was written, in order.
+def persist(results: dict[str, DataFrame], folder: str, label: str, base: int | None = None) -> list[str]:
+    """Commit the run's tables as one version of ``folder``: all of them become visible, or none. Returns what was written, in order, dimensions before facts.
 
-    New rows are appended as ``new-<version>``, changed rows as ``updated-<version>``; a version that is there is not written again, so a run can be repeated.
+    A label that is there is not committed again, so a run can be repeated. ``base``: the version that the run's snapshots were read from.
     """
-    done = []
-    for table in ORDER:
-        for key, kind in ((table, "new"), (f"{table}_new", "new"), (f"{table}_updated", "updated")):
-            if key in results and sinks.write_once(results[key].withColumn("part", F.lit(f"{kind}-{version}")), f"{folder}/{table}", "part", f"{kind}-{version}"):
-                done.append(f"{table}/{kind}")
-    return done
-
-
-def current(spark: SparkSession, folder: str, table: str, snapshot: DataFrame) -> DataFrame:
-    """A snapshot with all that was persisted laid over it, the latest version of a key last."""
-    path = f"{folder}/{table}"
-    if not sinks.exists(spark, path):
+    rows = [(table, kind, results[key]) for table in ORDER for key, kind in ((table, "new"), (f"{table}_new", "new"), (f"{table}_updated", "updated")) if key in results]
+    if not rows or Versions(rows[0][2].sparkSession, folder).commit(rows, label, base) is None:
+        return []
+    return [f"{table}/{kind}" for table, kind, _ in rows]
+
+
+def current(spark: SparkSession, folder: str, table: str, snapshot: DataFrame, version: int | None = None) -> DataFrame:
+    """A snapshot with all that was persisted laid over it, up to a version; of one key the row of the newest version stays."""
+    rows = Versions(spark, folder).read(table, version)
+    if rows is None:
         return snapshot
-    rows = spark.read.option("mergeSchema", True).parquet(path)
-    version = F.regexp_replace("part", "^(new|updated)-", "")
     keys = KEYS.get(table, [c for c in snapshot.columns if c == "id"] or snapshot.columns)
-    both = snapshot.withColumn("v", F.lit("")).unionByName(rows.withColumn("v", version).drop("part"), allowMissingColumns=True)
-
-    return op.first_per_key(both, keys, [F.desc("v")]).select(*snapshot.columns)
+    both = snapshot.withColumns({"_version": F.lit(0).cast("long"), "_kind": F.lit("new")}).unionByName(rows, allowMissingColumns=True)
+    return op.first_per_key(both, keys, [F.desc("_version"), F.desc("_kind")]).select(*snapshot.columns)

@@ -63,12 +63,12 @@ def boosted_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER w AS earlier_quantity, count(*) OVER w AS earlier_rows, round(max(l_extendedprice) OVER w, 2) AS earlier_top, round(lag(l_extendedprice) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber), 2) AS price_before
-FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+SELECT l_orderkey, l_linenumber, sum(l_quantity) OVER w AS earlier_quantity, count(*) OVER w AS earlier_rows, round(max(l_extendedprice) OVER w, 2) AS earlier_top, round(lag(l_extendedprice) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice), 2) AS price_before
+FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def hot_group_sums(spark: SparkSession, sf: str) -> DataFrame:
     """Running sum, count, extreme and row before in three groups that hold all rows."""
-    l, order = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"), ["l_shipdate", "l_orderkey", "l_linenumber"]
-    before = F.struct(*order, "l_extendedprice")
+    l, order = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"), ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    before = F.struct(*order)
     out = scans.running(l, ["l_returnflag"], order, {"total": ("sum", F.col("l_quantity")), "n": ("sum", F.lit(1)), "top": ("max", F.col("l_extendedprice")), "last": ("max", before)})
     return out.select("l_orderkey", "l_linenumber", F.col("total").alias("earlier_quantity"), F.coalesce("n", F.lit(0)).cast("long").alias("earlier_rows"), F.round("top", 2).alias("earlier_top"), F.round("last.l_extendedprice", 2).alias("price_before"))
 

@@ -5,11 +5,16 @@ Every write goes through Spark's commit protocol, so a lost executor leaves no h
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, TimestampType
 
 from seatloom.operators import tables as op
+from seatloom.sources.versions import Conflict, Versions
+
+SHEET_KEY = ["acad_term_id", "course_code", "section", "bidding_window"]
 
 
 def contract(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -64,27 +69,35 @@ def write_once(df: DataFrame, path: str, column: str, value: str) -> bool:
     return True
 
 
-def merge_sheets(standalone: DataFrame, multiple: DataFrame, errors: DataFrame, folder: str, version: str) -> None:
-    """Three sheets of raw rows merged into those of ``folder``, each written as a new version beside the one that is read.
+def merge_sheets(standalone: DataFrame, multiple: DataFrame, errors: DataFrame, folder: str, label: str, tries: int = 3) -> int | None:
+    """Three sheets of raw rows merged into those of ``folder`` as one version; returns its number, or None for a label that is there.
 
-    Standalone rows are appended unless their four-part key is there; the rows of a record in ``multiple`` replace those it had; errors are appended.
+    Standalone rows are appended unless their four-part key is there; the rows of a record in ``multiple`` replace those it had, unless they are the same; errors are
+    appended. Where another run changes the sheets meanwhile, the merge is made again from what it left, ``tries`` times at most.
     """
-    spark = standalone.sparkSession
-    latest = lambda name: f"{folder}/{name}"
-    key = ["acad_term_id", "course_code", "section", "bidding_window"]
-    append_new(standalone, latest("standalone"), key)
-    errors.write.mode("append").parquet(latest("errors"))
-    old = spark.read.parquet(f"{latest('multiple')}/*") if exists(spark, latest("multiple")) else None
-    if old is not None:
-        newest = old.withColumn("sheet_version", F.regexp_extract("_metadata.file_path", r"/version=([^/]+)/", 1))
-        newest = newest.join(newest.groupBy("record_key").agg(F.max("sheet_version").alias("sheet_version")), ["record_key", "sheet_version"]).drop("sheet_version")
-        same = lambda df: df.groupBy("record_key").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*sorted(multiple.columns)).cast("decimal(38,0)")).alias("h"))
-        multiple = multiple.join(same(multiple).join(same(newest), ["record_key", "n", "h"], "left_semi").select("record_key"), "record_key", "left_anti")
-    multiple.write.mode("errorifexists").parquet(f"{latest('multiple')}/version={version}")
-
-
-def read_multiple(spark: SparkSession, folder: str) -> DataFrame:
+    log = Versions(standalone.sparkSession, folder)
+    for left in reversed(range(tries)):
+        base = log.latest()
+        new, old = standalone, log.read("standalone", base)
+        whole = reduce(lambda a, k: a & F.col(k).isNotNull(), SHEET_KEY, F.lit(True))
+        new = new.filter(whole).dropDuplicates(SHEET_KEY).unionByName(new.filter(~whole))
+        new = new if old is None else new.join(old.select(*SHEET_KEY), SHEET_KEY, "left_anti")
+        changed, held = multiple, read_multiple(log.spark, folder, base)
+        if held is not None:
+            same = lambda df: df.groupBy("record_key").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*sorted(multiple.columns)).cast("decimal(38,0)")).alias("h"))
+            changed = changed.join(same(multiple).join(same(held), ["record_key", "n", "h"], "left_semi").select("record_key"), "record_key", "left_anti")
+        try:
+            return log.commit([("standalone", "new", new), ("multiple", "updated", changed), ("errors", "new", errors)], label, base)
+        except Conflict:
+            if not left:
+                raise
+    return None
+
+
+def read_multiple(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame | None:
     """The rows that ``merge_sheets`` left of each record: those of its newest version."""
-    rows = spark.read.parquet(f"{folder}/multiple/*").withColumn("sheet_version", F.regexp_extract("_metadata.file_path", r"/version=([^/]+)/", 1))
-    newest = rows.groupBy("record_key").agg(F.max("sheet_version").alias("sheet_version"))
-    return rows.join(newest, ["record_key", "sheet_version"]).drop("sheet_version")
+    rows = Versions(spark, folder).read("multiple", version)
+    if rows is None:
+        return None
+    newest = rows.groupBy("record_key").agg(F.max("_version").alias("_version"))
+    return rows.join(newest, ["record_key", "_version"]).drop("_version", "_kind")
