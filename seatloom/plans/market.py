@@ -14,17 +14,18 @@ TERM = "AY202526T1"
 
 
 def class_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Class pages made of page numbers: filepath, html."""
-    k = F.col("page_id")
+    """Class pages round the titles and first list items of pages, in elements with elements of the same name inside: filepath, html."""
+    k, title, item = F.col("page_id"), F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1), F.regexp_extract("html", "(?s)<li><a[^>]*>(.*?)</a>", 1)
     n = lambda c: c.cast("string")
     cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
-    meeting = lambda kind, day, who: F.concat(F.lit("<tr>"), cell(F.lit(kind)), *map(cell, (F.lit("5-Jan-2026"), F.lit("9-Apr-2026"), F.lit(day), F.lit("08:15"), F.lit("11:30"), F.lit("Room &amp; 1"), who)), F.lit("</tr>"))
+    meeting = lambda kind, day, who: F.concat(F.lit("<tr>"), cell(F.lit(kind)), *map(cell, (F.lit("5-Jan-2026"), F.lit("9-Apr-2026"), F.lit(day), F.lit("08:15"), F.lit("11:30"), F.lit("<table><tr><td>Room</td><td>&amp; 1</td></tr></table>"), who)), F.lit("</tr>"))
     grid = F.concat(F.lit('<table id="RadGrid_MeetingInfo_ctl00"><thead><tr><td>h</td></tr></thead><tbody>'), meeting("", "Mon", F.concat(F.lit("P"), n(k % 7))), meeting("EXAM", "Fri", F.lit("")), F.lit("<tr><td>short</td></tr></tbody></table>"))
     span = lambda name, c: F.concat(F.lit(f'<span class="x" id="{name}">'), c, F.lit("</span>"))
     head = F.when(k % 5 == 0, F.lit("")).otherwise(span("lblClassInfoHeader", F.concat(F.lit("<b>MGMT"), n(100 + k % 9), F.lit("</b> — G"), n(k % 5))))
     html = F.concat(
         F.lit("<html><body>"), head, span("lblClassInfoSubHeader", F.lit("2025-26 Term 1")), span("lblUnits", F.lit("1.5")), span("lblGradingBasis", F.when(k % 2 == 0, "Graded").otherwise("Pass/Fail")),
         F.lit('<div id="lblCourseAreas"><ul><li>Law</li><li>Arts</li></ul></div><input id="imgCourseOutline" onclick="window.open(\'http://o/'), n(k), F.lit("','w')\">"),
+        F.lit('<!-- <div id="lblCourseDescription">no</div> --><div id="lblCourseDescription">'), title, F.lit('<div class="a">'), item, F.lit("<DIV>deep</DIV ></div> end</div><span id='lblClassSection'><span>"), title, F.lit("</span></span>"),
         span("lblDates", F.lit("5-Jan-2026 to 9-Apr-2026")), span("lblClassCapacity", n(40 + k % 3)), span("lblEnrolmentTotal", F.when(k % 4 == 0, "n/a").otherwise(n(k % 30))),
         F.when(k % 3 != 0, grid).otherwise(F.lit("")), F.lit("</body></html>"),
     )
@@ -36,11 +37,14 @@ def class_pages(spark: SparkSession, sf: str) -> DataFrame:
 SELECT 'SelectedAcadTerm=251&SelectedClassNumber=' || (1000 + page_id) || '.html' AS record_key, 'MGMT' || (100 + page_id % 9) AS course_code, 'G' || (page_id % 5) AS section, 1.5::DOUBLE AS credit_units,
   'Law, Arts' AS course_area, 'AY202526T1' AS acad_term_id, 2026 AS acad_year_end, '2026-01-05 00:00:00.000 +0800' AS start_dt, '2026-04-09 00:00:00.000 +0800' AS end_dt, CASE WHEN page_id % 2 = 0 THEN 'Graded' ELSE 'Pass/Fail' END AS grading_basis,
   'http://o/' || page_id AS course_outline_url, (1000 + page_id)::INTEGER AS class_boss_id, (40 + page_id % 3)::INTEGER AS total, CASE WHEN page_id % 4 <> 0 THEN page_id % 30 END::INTEGER AS current_enrolled,
-  CASE WHEN page_id % 2 = 0 THEN 'Round 1A Window 2' ELSE 'R9W9' END AS bidding_window FROM pages WHERE page_id % 5 <> 0""")
+  CASE WHEN page_id % 2 = 0 THEN 'Round 1A Window 2' ELSE 'R9W9' END AS bidding_window,
+  trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&amp;', '&')) AS course_name,
+  trim(replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's') || ' ' || regexp_extract(html, '<li><a[^>]*>(.*?)</a>', 1, 's'), '[[:space:]]+', ' ', 'g'), '&amp;', '&')) || ' deep end' AS course_description
+FROM pages WHERE page_id % 5 <> 0""")
 def page_records(spark: SparkSession, sf: str) -> DataFrame:
     windows = spark.createDataFrame([("R1AW2", "Round 1A Window 2"), ("R1W1", "Round 1 Window 1")], "abbreviation string, window string")
     return pages.standalone(class_pages(spark, sf), windows, "2026-01-01 00:00:00").select(
-        "record_key", "course_code", "section", "credit_units", "course_area", "acad_term_id", "acad_year_end", "start_dt", "end_dt", "grading_basis", "course_outline_url", "class_boss_id", "total", "current_enrolled", "bidding_window"
+        "record_key", "course_code", "section", "credit_units", "course_area", "acad_term_id", "acad_year_end", "start_dt", "end_dt", "grading_basis", "course_outline_url", "class_boss_id", "total", "current_enrolled", "bidding_window", "course_name", "course_description"
     )
 
 

@@ -1,6 +1,8 @@
 """The domain's functions on small tables: reading pages, people, classes, features, multipliers, the whole run."""
 
 import math
+import random
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -115,6 +117,63 @@ def test_pages(spark):
     assert {(r.filepath, r.error) for r in pages.errors(made).collect()} == {("/x/f/none.html", "Missing class header"), ("one.html", "Error extracting meeting information")}
 
 
+class Reader(HTMLParser):
+    """Text of the first element of an id, its tags counted one by one."""
+
+    def __init__(self, name):
+        super().__init__(convert_charrefs=True)
+        self.name, self.open, self.out = name, None, []
+
+    def handle_starttag(self, tag, attrs):
+        if self.open is None:
+            if dict(attrs).get("id") == self.name:
+                self.open = [tag]
+        elif self.open and tag == self.open[0]:
+            self.open.append(tag)
+        self.out += [" "] * bool(self.open)
+
+    def handle_endtag(self, tag):
+        self.out += [" "] * bool(self.open)
+        if self.open and tag == self.open[0]:
+            self.open.pop()
+
+    def handle_data(self, data):
+        if self.open and not self.cdata_elem:
+            self.out.append(data)
+
+
+def test_nested_elements(spark):
+    rng = random.Random(2)
+
+    def made(depth):
+        out = []
+        for _ in range(rng.randrange(4)):
+            tag = rng.choice(["div", "DIV", "table", "span", "b", "p"])
+            mark = rng.choice(["", "", ' id="x"', " id=x class=q", ' id="xx"', " data-id='x1'"])
+            inside = made(depth - 1) if depth else "leaf"
+            out.append(rng.choice(["text ", "a &lt; b ", "&#233;&#x41; ", "<!-- <div id=x>no</div> -->", "<br>", "<script>'</div>'</script>"]) + f"<{tag}{mark}>{inside}</{tag} >")
+        return "".join(out) + rng.choice(["", " end"])
+
+    texts = [made(4) for _ in range(300)] + ["<div id=x>never closed <b>here</b>", "<div id=x><div>a</div>b</div>c", "<div/ id=x>"]
+    want = []
+    for t in texts:
+        reader = Reader("x")
+        reader.feed(t)
+        want.append(" ".join("".join(reader.out).split()) or None)
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, html string")
+    got = {r.k: r.t for r in frame.select("k", pages.text_of(pages.cleaned(F.col("html")), "x").alias("t")).collect()}
+    assert sum(w is not None for w in want) > 60
+    assert [(texts[i], got[i]) for i in got if got[i] != want[i]] == []
+    assert spark.sql("SELECT '&#0;&#xD800;&#9999999;&amp;#65;&nbsp;x' AS t").select(pages.plain(F.col("t"))).first()[0] == "\ufffd\ufffd\ufffd&#65; x"
+
+
+def test_tables_in_cells(spark):
+    inside = "<table><tr><td>Hall</td><td><table><tr><td>2</td></tr></table></td></tr></table>"
+    grid = f'<table id="RadGrid_MeetingInfo_ctl00"><tbody><tr><td>EXAM<td>a<td>1-Feb-2026<td>Mon<td><td><td>{inside}<tr><td>EXAM</td><td>a</td><td>2-Feb-2026</td><td>Tue</td><td></td><td></td><td>X</td></tr></tbody></table><table><tbody><tr>{"<td>EXAM</td>" * 8}</tr></tbody></table>'
+    made = spark.createDataFrame([("f", page("LAW1 — G1", grid))], "filepath string, html string")
+    assert sorted((m.day_of_week, m.venue) for m in pages.meetings(made).collect()) == [("Mon", "Hall 2"), ("Tue", "X")]
+
+
 def raw(spark, rows):
     """Standalone rows from (record_key, boss_id, course, section, window, total, enrolled)."""
     schema = schemas.STANDALONE + ", position int"
