@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatloom.functions import text as T
+from seatloom.operators.similar import subset_pairs
 from seatloom.operators.tables import first_per_key
 
 # The fold takes the longest known run at each place; an unknown single word joins the name before it.
@@ -46,7 +47,7 @@ def resolve(
     """Names -> key, person, strategy (0 literal to 5 by variation, 6 by subset of at least two words, 7 to 12 among people new in this run).
 
     Null where none fits. ``session``: people new in this run, (person, known_as); ``valid``: the persons that count, a match with any other is passed
-    over. The subset match is an equality join on words with a count, not a comparison of all pairs.
+    over. The subset match asks by a name's rarest word, and does not compare all pairs.
     """
     asked = rows.select(F.col(key).alias("r_k"), F.col(name).alias("n")).filter(~T.is_unset(F.col("n")))
     alias = lambda df: df.select(F.col(person).alias("r_p"), F.upper(F.trim(known_as)).alias("alias"))
@@ -55,12 +56,9 @@ def resolve(
         known = known.join(valid.select(F.col(person).alias("r_p")), "r_p", "left_semi")
     forms = asked.select("r_k", F.posexplode(T.name_variations(F.col("n"))).alias("strategy", "alias"))
     found = forms.join(known, "alias").select("r_k", "r_p", "strategy")
-    words = lambda c: F.array_distinct(F.filter(F.split(F.replace(F.upper(c), F.lit(","), F.lit(" ")), r"\s+"), lambda w: w != ""))
-    left = asked.select("r_k", words(F.col("n")).alias("w")).filter(F.size("w") >= 2)
-    # each alias by itself: words of two aliases of one person don't add up
-    right = known.distinct().select("r_p", "alias", F.explode(words(F.col("alias"))).alias("word"))
-    hits = left.select("r_k", F.size("w").alias("need"), F.explode("w").alias("word")).join(right, "word").groupBy("r_k", "r_p", "alias", "need").count()
-    found = found.unionByName(hits.filter(F.col("count") == F.col("need")).select("r_k", "r_p", F.lit(6).alias("strategy")))
+    pairs = subset_pairs(asked.select(F.col("n").alias("a")), known.select(F.col("alias").alias("b")))
+    hits = asked.join(pairs, F.col("n") == F.col("a")).join(known.distinct(), F.col("b") == F.col("alias"))
+    found = found.unionByName(hits.select("r_k", "r_p", F.lit(6).alias("strategy")))
     if session is not None:
         found = found.unionByName(forms.join(alias(session), "alias").select("r_k", "r_p", (F.col("strategy") + 7).alias("strategy")))
     best = first_per_key(found, ["r_k"], [F.col("strategy"), F.col("r_p")])
