@@ -47,8 +47,8 @@ SELECT year, quarter, round(med, 6) AS med, round(mean, 7) AS mean, round(sd, 4)
        round(CASE WHEN before > 0 THEN (med - before) / before * 100 ELSE 0 END, 6) AS change FROM l""")
 def semester_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = orders(spark, sf).filter("o_totalprice > 0")
-    s = rows.groupBy("year", "quarter").agg(F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("sd"))
-    s = s.join(ranks.median_of(rows, ["year", "quarter"], "o_totalprice", "med"), ["year", "quarter"])
+    more = {"mean": F.avg("o_totalprice"), "sd": F.stddev_samp("o_totalprice")}
+    s = ranks.median_of(rows, ["year", "quarter"], "o_totalprice", "med", more)
     before = F.lag("med").over(Window.orderBy("year", "quarter"))  # a row a term
     return s.withColumn("before", before).select("year", "quarter", r6(F.col("med")).alias("med"), F.round("mean", 7).alias("mean"), F.round("sd", 4).alias("sd"), "n",
                                                  r6(T.percent_change(F.col("med"), F.col("before"))).alias("change"))

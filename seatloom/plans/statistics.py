@@ -96,7 +96,7 @@ SELECT unnest(range(1, 100))::INTEGER AS pct, round(unnest(list_transform(v, lam
 def percentile_multipliers(spark: SparkSession, sf: str) -> DataFrame:
     x = F.col("o_totalprice")
     o = table(spark, sf, "orders").select("o_totalprice")
-    q = ranks.quantiles(o, [], "o_totalprice", [i / 100 for i in range(1, 100)]).select("q").crossJoin(F.broadcast(o.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s"))))  # one row each
+    q = ranks.quantiles(o, [], "o_totalprice", [i / 100 for i in range(1, 100)], also={"m": F.avg(x), "s": F.stddev_pop(x)})
     return q.select(F.posexplode("q").alias("i", "x"), "m", "s").select((F.col("i") + 1).alias("pct"), r6(F.when(F.col("s") > 0, (F.col("x") - F.col("m")) / F.col("s")).otherwise(0.0)).alias("multiplier"))
 
 

@@ -14,6 +14,28 @@ def test_quantiles(spark):
     assert np.allclose(ranks.quantiles(df, [], "v", shares, 1000).first().q, np.quantile(whole, shares))
 
 
+def test_quantiles_of_a_bad_sketch_are_found_anew(spark):
+    """Bounds that miss the ranks are widened until they hold them; more aggregates come along."""
+    rng = np.random.default_rng(9)
+    rows = [(g, float(x)) for g, n in (("a", 9000), ("b", 5000), (None, 4000), ("tiny", 3)) for x in rng.exponential(size=n)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    shares = [0.9, *(i / 40 for i in range(41)), 0.5]
+    more = {"mean": F.avg("v"), "top": F.max("v")}
+    for got in (ranks.quantiles(df, ["g"], "v", shares, 30, more, 1e-6), ranks.quantiles(df, ["g"], "v", shares, also=more)):
+        for r in got.collect():
+            v = [x for g, x in rows if g == r.g]
+            assert r.n == len(v) and np.allclose(r.q, np.quantile(v, shares)) and np.isclose(r.mean, np.mean(v)) and r.top == max(v)
+        assert got.count() == 4
+    assert ranks.quantiles(df.limit(0), ["g"], "v", shares).count() == ranks.quantiles(df.limit(0), [], "v", shares).count() == 0
+
+
+def test_bisection(spark):
+    bounds = [-1.0, 0.0, 0.0, 2.5, 9.0, 9.0, 11.0]
+    for size in range(8):
+        row = spark.range(1).select(*[ranks.below(F.array(*map(F.lit, bounds)), size, F.lit(v)).alias(str(i)) for i, v in enumerate([-2.0, -1.0, 0.0, 1.0, 9.0, 10.0, 99.0])]).first()
+        assert list(row) == [sum(b < v for b in bounds[:size]) for v in [-2.0, -1.0, 0.0, 1.0, 9.0, 10.0, 99.0]]
+
+
 def test_ranks_and_ids(spark):
     rng = random.Random(2)
     rows = [(rng.choice("xy"), rng.randrange(500) if rng.random() < 0.7 else 7, i) for i in range(4000)]
