@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,29 +13,72 @@ from pyspark.sql.types import DoubleType
 
 from seatloom.functions import student_t
 from seatloom.operators import ranks
+from seatloom.runtime import materialise
 
-#: Most points that a group's residuals come to the driver as; more are summed up in bins of equal width.
-BINS = 20_000
 PERCENTS = range(1, 100)
 
 
-def histogram(residuals: DataFrame, bins: int = BINS) -> DataFrame:
-    """(prediction_type, residual) -> prediction_type, x, n: values with their counts, at most ``bins`` for a type; what isn't finite is left out."""
+def finite(residuals: DataFrame) -> DataFrame:
+    """(prediction_type, residual) -> prediction_type, x: what is null or not finite is left out."""
     x = F.col("residual").cast("double")
-    rows = residuals.select("prediction_type", x.alias("x")).filter(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    ends = rows.groupBy(F.col("prediction_type").alias("e_type")).agg(F.min("x").alias("low"), F.max("x").alias("high"), F.approx_count_distinct("x").alias("values"))
-    met = rows.join(F.broadcast(ends), F.col("prediction_type") == F.col("e_type"))  # a row a type
-    width = (F.col("high") - F.col("low")) / bins
-    spot = F.when((F.col("values") <= bins * 0.9) | (width <= 0), F.col("x")).otherwise(F.floor((F.col("x") - F.col("low")) / width).cast("double"))
-    return met.groupBy("prediction_type", spot.alias("spot")).agg(F.avg("x").alias("x"), F.count("*").alias("n")).drop("spot")
+    return residuals.select("prediction_type", x.alias("x")).filter(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+
+
+@dataclass
+class Fit:
+    """A type's curve so far; ``step``: how far apart (in logarithms) the next degrees of freedom are that are tried."""
+
+    n: int
+    df: float
+    loc: float
+    scale: float
+    step: float = 0.5
+    done: bool = False
+
+    def tried(self) -> list[float]:
+        return [min(max(self.df * math.exp(self.step * k), LIGHT_TAILS[0]), LIGHT_TAILS[1]) for k in range(-4, 5)]
+
+    def next(self, sums: list[float], logs: list[float]) -> Fit:
+        """The EM step for location and scale, and the best of the degrees of freedom tried."""
+        shift = sums[1] / sums[0]
+        loc, scale = self.loc + shift, math.sqrt(max(sums[2] - sums[1] * shift, 0.0) / self.n)
+        tried = self.tried()
+        likely = [self.n * (math.lgamma((d + 1) / 2) - math.lgamma(d / 2) - 0.5 * math.log(d * math.pi)) - (d + 1) / 2 * x for d, x in zip(tried, logs, strict=True)]
+        best = max(range(9), key=lambda i: (likely[i], -abs(i - 4)))
+        df, inside = tried[best], 0 < best < 8 or tried[best] in LIGHT_TAILS
+        near = max(abs(df - self.df) / df, abs(shift) / scale if scale else 0.0, abs(scale - self.scale) / self.scale) < 1e-7
+        return Fit(self.n, df, loc, scale, self.step / 3 if inside else self.step, not scale or (near and self.step < 1e-6))
 
 
-def fitted(residuals: DataFrame) -> dict[str, tuple[float, float, float]]:
-    """Student's t for each prediction type: (df, location, scale)."""
-    found: dict[str, list[tuple[float, int]]] = {}
-    for r in histogram(residuals).collect():
-        found.setdefault(r.prediction_type, []).append((r.x, r.n))
-    return {k: student_t.fit(np.array([x for x, _ in v]), np.array([n for _, n in v])) for k, v in sorted(found.items())}
+#: Least and largest degrees of freedom of a fit; beyond, the curve is no t or as good as normal.
+LIGHT_TAILS = (0.3, 300.0)
+
+
+def fitted(residuals: DataFrame, rounds: int = 120) -> dict[str, tuple[float, float, float]]:
+    """Student's t for each prediction type by maximum likelihood: (df, location, scale).
+
+    Each round is one aggregation over all residuals, a row for each value: sums of weights, of weighted values and squares for the EM step of location and scale, and the
+    likelihoods of nine degrees of freedom round the last. The driver gets a row a type. A type whose residuals are all equal has scale 0.
+    """
+    rows = finite(residuals)
+    counted = materialise(rows.groupBy("prediction_type", "x").agg(F.count("*").alias("n")), "residuals")
+    starts = ranks.quantiles(rows, ["prediction_type"], "x", [0.25, 0.5, 0.75], also={"sd": F.stddev_pop("x"), "low": F.min("x"), "high": F.max("x")})
+    fits: dict[str, Fit] = {}
+    for r in starts.collect():
+        flat = r.low == r.high
+        fits[r.prediction_type] = Fit(r.n, math.inf if flat else 5.0, r.q[1], 0.0 if flat else (r.q[2] - r.q[0]) / 1.4 or r.sd, done=flat)
+    for _ in range(rounds):
+        left = {k: f for k, f in fits.items() if not f.done}
+        if not left:
+            break
+        told = residuals.sparkSession.createDataFrame([(k, f.df, f.loc, f.scale, f.tried()) for k, f in left.items()], "t_type string, df double, loc double, scale double, tried array<double>")
+        d, q = F.col("x") - F.col("loc"), F.pow((F.col("x") - F.col("loc")) / F.col("scale"), 2)
+        u = F.col("n") * (F.col("df") + 1) / (F.col("df") + q)
+        logs = [F.sum(F.col("n") * F.log1p(q / F.get("tried", F.lit(i)))) for i in range(9)]
+        met = counted.join(F.broadcast(told), F.col("prediction_type").eqNullSafe(F.col("t_type")))  # a row a type
+        for r in met.groupBy("prediction_type").agg(F.array(F.sum(u), F.sum(u * d), F.sum(u * d * d)).alias("sums"), F.array(*logs).alias("logs")).collect():
+            fits[r.prediction_type] = left[r.prediction_type].next(r.sums, r.logs)
+    return {k: (f.df, f.loc, f.scale) for k, f in sorted(fits.items(), key=lambda x: (x[0] is not None, x[0] or ""))}
 
 
 def safety_factors(residuals: DataFrame, term: str) -> DataFrame:
@@ -47,9 +93,7 @@ def safety_factors(residuals: DataFrame, term: str) -> DataFrame:
         known = scale > 0
         rows += [(kind, p, loc, scale, float(student_t.ppf(p / 100, min(df, 1e6))) if known else 0.0) for p in PERCENTS]
     theory = spark.createDataFrame(rows, "prediction_type string, beats_percentage int, loc double, scale double, theoretical double")
-    x = F.col("residual").cast("double")
-    finite = residuals.filter(x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    q = ranks.quantiles(finite, ["prediction_type"], "residual", [p / 100 for p in PERCENTS]).select("prediction_type", F.posexplode("q").alias("i", "value"))
+    q = ranks.quantiles(finite(residuals), ["prediction_type"], "x", [p / 100 for p in PERCENTS]).select("prediction_type", F.posexplode("q").alias("i", "value"))
     q = q.select("prediction_type", (F.col("i") + 1).alias("beats_percentage"), "value")
     j = theory.join(q, ["prediction_type", "beats_percentage"])
     empirical = F.when(F.col("scale") > 0, (F.col("value") - F.col("loc")) / F.col("scale")).otherwise(0.0)

@@ -46,19 +46,19 @@ def quantiles(df: DataFrame, keys: list[str], value: str, shares: list[float], a
     also, slack = also or {}, slack or 3 / accuracy
     rows = df.withColumn("q_value", F.col(value).cast("double")).filter("q_value IS NOT NULL")
     edges = [min(1.0, max(0.0, p + side)) for side in (-slack, slack) for p in order]
-    told = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("q_value").alias("q_min"), F.max("q_value").alias("q_max"), F.percentile_approx("q_value", edges, accuracy).alias("edges"), *[c.alias(k) for k, c in also.items()])
+    told = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("q_value").alias("q_min"), F.max("q_value").alias("q_max"), F.percentile_approx("q_value", edges, accuracy).alias("q_edges"), *[c.alias(k) for k, c in also.items()])
     # the ends of the data bound the ends, and all shares of a group so small that the slack is less than a few rows
     small = (F.col("n") * slack < 4) | F.lit(slack >= 0.5)
     ends = sum(p <= slack for p in order), sum(p < 1 - slack for p in order)
-    low = F.transform(F.slice("edges", 1, size), lambda x, i: F.when(small | (i < ends[0]), F.col("q_min")).otherwise(x))
-    high = F.transform(F.slice("edges", size + 1, size), lambda x, i: F.when(small | (i >= ends[1]), F.col("q_max")).otherwise(x))
-    bounds = materialise(told.filter("n > 0").select(*keys, "n", low.alias("low"), high.alias("high"), *also), "bounds")
+    low = F.transform(F.slice("q_edges", 1, size), lambda x, i: F.when(small | (i < ends[0]), F.col("q_min")).otherwise(x))
+    high = F.transform(F.slice("q_edges", size + 1, size), lambda x, i: F.when(small | (i >= ends[1]), F.col("q_max")).otherwise(x))
+    bounds = materialise(told.filter("n > 0").select(*keys, "n", low.alias("q_low"), high.alias("q_high"), *also), "bounds")
     own = renamed(bounds.drop(*also), keys, "b_")
     rows = rows.select(*keys, "q_value")
     met = rows.join(own, same_keys(keys, "b_")) if keys else rows.crossJoin(F.broadcast(own))  # one row
     v = F.col("q_value")
-    spot = met.select(*keys, "n", below(F.col("high"), size, v).alias("i"), v, "low").filter(F.col("i") < size)
-    counted = spot.groupBy(*keys, "n", "i", F.when(v >= F.get("low", F.col("i")), v).alias("at")).count()
+    spot = met.select(*keys, "n", below(F.col("q_high"), size, v).alias("i"), v, "q_low").filter(F.col("i") < size)
+    counted = spot.groupBy(*keys, "n", "i", F.when(v >= F.get("q_low", F.col("i")), v).alias("at")).count()
     # level one: whole intervals; level two: the values of each
     along, inside = Window.partitionBy(*keys).orderBy("i"), Window.partitionBy(*keys, "i").orderBy(F.asc_nulls_first("at"))
     sums = counted.groupBy(*keys, "i").agg(F.sum("count").alias("total"))

@@ -96,8 +96,27 @@ def test_safety_factors(spark):
     probe = spark.createDataFrame([(float(v),) for v in (-3, 3, 5, 40)], "x double").select("x", f("x").alias("f")).collect()
     assert all(abs(r.f - student_t.cdf((r.x - loc) / scale, df)) < 1e-6 for r in probe)
     assert abs(safety.critical_values(10, 0, 1)[0.95][0] - 2.2281388) < 1e-5
-    binned = safety.histogram(spark.createDataFrame(rows, "prediction_type string, residual double"), 50).filter("prediction_type = 'median'")
-    assert binned.count() <= 51 and binned.agg({"n": "sum"}).first()[0] == 4000
+
+
+def test_fit_of_all_residuals(spark):
+    """The fit is a maximum of the likelihood; a far value only adds its own weight."""
+    rng = np.random.default_rng(5)
+    groups = {"median": 3 + 2 * rng.standard_t(4, 3000), "min": rng.normal(-1, 5, 2000).round(1), "heavy": np.tan(rng.uniform(-1.5, 1.5, 1500)), "flat": np.full(9, 2.5)}
+    groups["far"] = np.append(groups["median"], 1e9)
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("median", None), ("min", math.nan)]
+    fits = safety.fitted(spark.createDataFrame(rows, "prediction_type string, residual double").repartition(5))
+    assert fits.pop("flat") == (math.inf, 2.5, 0.0) and set(fits) == set(groups) - {"flat"}
+
+    def likelihood(x, df, loc, scale):
+        return student_t.log_density((x - loc) / scale, df).sum() - len(x) * math.log(scale)
+
+    for k, (df, loc, scale) in fits.items():
+        x, top = groups[k], likelihood(groups[k], df, loc, scale)
+        for e in (1e-3, -1e-3):
+            assert top >= likelihood(x, df, loc + e * scale, scale) and top >= likelihood(x, df, loc, scale * (1 + e)) and top >= likelihood(x, min(df * (1 + e), 300.0), loc, scale)
+    for a, b in zip(fits["median"], student_t.fit(groups["median"]), strict=True):
+        assert abs(a - b) < 1e-4 * abs(b)
+    assert all(abs(a - b) < 0.2 * abs(b) for a, b in zip(fits["far"], fits["median"], strict=True))
 
 
 def page(header, extra=""):
