@@ -79,8 +79,8 @@ def names_region(name: str, inside: bool) -> bool:
     return not (set(found) == {"header"} and (inside or any(p in MAIN for p in parts)))
 
 
-def is_dropped(node: dom.Node, inside: bool) -> bool:
-    """Whether a node is outside the main text; ``inside``: within the article."""
+def is_dropped(node: dom.Node, inside: bool, wrappers: frozenset[int] = frozenset()) -> bool:
+    """Whether a node is outside the main text; ``inside``: within the article; ``wrappers``: nodes whose class names and ids don't count."""
     if node.tag in DROPPED or node.tag == "header" and not inside:
         return True
     if not node.attributes:
@@ -89,18 +89,44 @@ def is_dropped(node: dom.Node, inside: bool) -> bool:
         return True
     if (node.attribute("role") or "").lower() in ROLES:
         return True
-    return any(names_region(name, inside) for name in node.names())
+    return id(node) not in wrappers and any(names_region(name, inside) for name in node.names())
 
 
-def roots(page: dom.Node) -> list[dom.Node]:
-    """The outermost article elements that hold the content, else all outermost main elements, else the whole page."""
+#: Names of regions that may hold most of a page's text and are still no main text.
+READERS = frozenset("comment comments commentlist discussion replies reply disqus respond".split())
+
+
+def wrappers_of(page: dom.Node) -> frozenset[int]:
+    """Nodes with at least half of the page's text, other than readers' comments: their names can't tell that they are side regions."""
+    order, stack = [], [page]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if not isinstance(c, str) and c.tag not in DROPPED]
+    sizes: dict[int, int] = {}
+    for node in reversed(order):
+        sizes[id(node)] = sum(len("".join(c.split())) if isinstance(c, str) else sizes.get(id(c), 0) for c in node.children)
+    half = sizes[id(page)] / 2
+    return frozenset(id(n) for n in order if sizes[id(n)] >= half and not any(p in READERS for name in n.names() for p in name.translate(SPLIT).split()))
+
+
+def roots(page: dom.Node, wrappers: frozenset[int] = frozenset()) -> list[dom.Node]:
+    """The outermost article elements that hold the content, else all outermost main elements, else the whole page.
+
+    Where there are none outside regions of such names, a wrapper of half of the page's text is searched in spite of its name.
+    """
+    return regions(page, wrappers) or regions(page, wrappers or wrappers_of(page)) or [page]
+
+
+def regions(page: dom.Node, wrappers: frozenset[int]) -> list[dom.Node]:
+    """Outermost articles, else outermost mains; none where there are neither."""
     articles: list[dom.Node] = []
     mains: list[dom.Node] = []
     stack = [(page, False)]
     while stack:
         node, inside = stack.pop()
         if node is not page:
-            if is_dropped(node, False):
+            if is_dropped(node, False, wrappers):
                 continue
             if node.tag == "article":
                 articles.append(node)
@@ -110,7 +136,7 @@ def roots(page: dom.Node) -> list[dom.Node]:
                 mains.append(node)
             inside = inside or main
         stack += [(c, inside) for c in reversed(node.children) if not isinstance(c, str)]
-    return articles or mains or [page]
+    return articles or mains
 
 
 class Block:
@@ -148,9 +174,17 @@ class Folded:
 
 
 def read(html: str | None) -> tuple[tuple, list[Block]]:
-    """Folded structure of a page, as nested (label, children), and the blocks of its main text."""
+    """Folded structure of a page, as nested (label, children), and the blocks of its main text.
+
+    Where names would leave nothing of a page (a body or an outer wrapper named like a side region), they don't count.
+    """
     tree = dom.parse(html or "")
-    chosen = roots(tree)
+    shape, blocks = blocks_of(tree, frozenset())
+    return (shape, blocks) if blocks else blocks_of(tree, wrappers_of(tree))
+
+
+def blocks_of(tree: dom.Node, wrappers: frozenset[int]) -> tuple[tuple, list[Block]]:
+    chosen = roots(tree, wrappers)
     held, whole = {id(r) for r in chosen}, chosen[0] is tree
     blocks: list[Block] = []
     pending: list[str] = []
@@ -176,7 +210,7 @@ def read(html: str | None) -> tuple[tuple, list[Block]]:
                 pending.append(child)
         else:
             inside = main or id(child) in held
-            dropped = main and id(child) not in held and is_dropped(child, article)
+            dropped = main and id(child) not in held and is_dropped(child, article, wrappers)
             named = article or id(child) in held or any(p in MAIN for name in child.names() for p in name.translate(SPLIT).split())
             if main and child.tag == "br":
                 pending.append(" ")

@@ -94,7 +94,7 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, transitions: np.ndarra
 
     ``emit``: log weights (words, labels); ``first``: marks of words that begin a sequence. The stream is cut into lanes
     that advance together: a lane's transfer matrix is the product of its steps, the matrices are chained from
-    both ends, then every lane runs forward and backward from exact borders. Returns the marginals and, for training, the expected
+    both ends, then every lane runs forward and backward from exact borders. Memory is words times labels. Returns the marginals and, for training, the expected
     number of transitions between labels.
     """
     n, k = emit.shape
@@ -108,10 +108,11 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, transitions: np.ndarra
     e, mark = e.reshape(lanes, length, k), mark.reshape(lanes, length)
     t, s = np.exp(transitions - transitions.max()), np.exp(start - start.max())
     s = s / s.sum()
-    steps = np.where(mark[:, :, None, None], s, t)  # (lanes, length, from, to)
     through = np.broadcast_to(np.eye(k), (lanes, k, k))
     for i in range(length):
-        through = (through @ steps[:, i]) * e[:, i, None, :]
+        begins = mark[:, i, None, None]
+        # a step inside a sequence multiplies by t; one that begins a sequence gives the start's weights to all that has come
+        through = np.where(begins, through.sum(axis=2, keepdims=True) * s, through @ t) * e[:, i, None, :]
         through = through / through.max(axis=(1, 2), keepdims=True)
     left, right = np.empty((lanes, k)), np.empty((lanes, k))
     a = np.full(k, 1 / k)
@@ -126,21 +127,21 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, transitions: np.ndarra
         b = b / b.max()
     forward, backward = np.empty_like(e), np.empty_like(e)
     for i in range(length):
-        left = np.einsum("lj,ljk->lk", left, steps[:, i]) * e[:, i]
+        left = np.where(mark[:, i, None], left.sum(axis=1, keepdims=True) * s, left @ t) * e[:, i]
         left = left / left.sum(axis=1, keepdims=True)
         forward[:, i] = left
     for i in range(length - 1, -1, -1):
         backward[:, i] = right
-        right = np.einsum("ljk,lk->lj", steps[:, i], e[:, i] * right)
+        right = e[:, i] * right
+        right = np.where(mark[:, i, None], (right @ s)[:, None], right @ t.T)
         right = right / right.max(axis=1, keepdims=True)
     marginal = forward * backward
     marginal = (marginal / marginal.sum(axis=2, keepdims=True)).reshape(-1, k)[:n]
     if not pairs:
         return marginal, None
     e, f, b, inside = e.reshape(-1, k)[:n], forward.reshape(-1, k)[:n], backward.reshape(-1, k)[:n], ~mark.reshape(-1)[:n]
-    steps = f[:-1, :, None] * t * (e * b)[1:, None, :]
-    steps = steps / steps.sum(axis=(1, 2), keepdims=True)
-    return marginal, steps[inside[1:]].sum(axis=0)
+    f, g = f[:-1][inside[1:]], (e * b)[1:][inside[1:]]
+    return marginal, t * ((f / ((f @ t) * g).sum(axis=1, keepdims=True)).T @ g)
 
 
 def sample(labelled: DataFrame, docs_per_language: int, passages: int, passage_words: int, languages: int = LANGUAGES) -> list[tuple[str, list[list[str]]]]:
@@ -148,7 +149,7 @@ def sample(labelled: DataFrame, docs_per_language: int, passages: int, passage_w
     rows = labelled.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     counts = rows.groupBy(F.col("lang").alias("c_lang")).count().orderBy(F.desc("count"), "c_lang").limit(languages)
     # a share of each language by hash, about twice what is wanted; the exact cut follows, before anything is collected
-    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.length("text")), F.lit(1 << 30)) < F.lit(2.0 * docs_per_language * (1 << 30)) / F.col("count")
+    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.lit(2.0 * docs_per_language * (1 << 30)) / F.col("count")
     near = rows.join(F.broadcast(counts), F.col("lang") == F.col("c_lang")).filter(drawn)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

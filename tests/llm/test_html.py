@@ -4,6 +4,8 @@ import random
 import re
 from html import unescape
 
+import pytest
+
 from seatloom.llm import dom, html_extract
 
 SCHEMA = "page_id long, url string, html string"
@@ -153,3 +155,17 @@ def test_parse_keeps_all_text():
         return "".join(c if isinstance(c, str) else walk(c) for c in n.children)
 
     assert walk(tree) == "abcde"
+
+
+@pytest.mark.parametrize("wrapper", ['<body class="sidebar-right">{}</body>', '<body class="search">{}</body>', '<p>Top.</p><div class="content-sidebar-wrap">{}</div>', '<div class="menu-top">{}</div>', '<body id="popup"><div class="banner">{}</div></body>'])
+@pytest.mark.parametrize("inner", ["<article><p>First words of it.</p><div class='share'>Share</div></article>", "<main><p>First words of it.</p></main>"])
+def test_names_of_wrappers_blank_no_page(spark, wrapper, inner):
+    page = "<html>" + wrapper.format("<nav>Home</nav>" + inner + '<div class="comments"><article>Nice.</article></div>') + "</html>"
+    rows = spark.createDataFrame([(i, f"http://a.example/{i}", page.replace("First", f"First{i}")) for i in range(3)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(rows).collect()}
+    assert all(f"First{i} words of it." in got[i] for i in range(3))
+
+
+def test_comments_are_no_article(spark):
+    page = '<body><div class="x"><p>Long text of the page itself, more than the comments hold.</p></div><div class="comments"><article>Nice.</article></div></body>'
+    assert [b.text for b in html_extract.read(page)[1]] == ["Long text of the page itself, more than the comments hold."]

@@ -342,3 +342,23 @@ def test_url_aliases(spark):
     asked = spark.createDataFrame([(i, f"https://h{i}.net/", None) for i in range(300)], "page_id long, url string, html string")
     assert {r.verdict for r in url_filter.judge(asked, hub).collect()} == {"block"}
     assert url_filter.judge(pages.limit(0)).count() == 0
+
+
+def test_language_null_ids_of_one_length(spark):
+    """The draw goes by id and text, so null ids of one length are drawn like others."""
+    rows = [(None, f"{w} {w}{w} {i:05}", lang) for i in range(3000) for w, lang in (("alpha", "aa"), ("gamma", "bb"))]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {lang for lang, _ in language_id.sample(labelled, 20, 2, 5)} == {"aa", "bb"}
+
+
+def test_language_memory_is_words_times_labels():
+    import tracemalloc
+
+    n, k = 60_000, 40
+    rng = np.random.default_rng(0)
+    emit, first = rng.normal(size=(n, k)), rng.random(n) < 0.01
+    tracemalloc.start()
+    language_id.forward_backward(emit, first, rng.normal(size=(k, k)), rng.normal(size=k))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * n * k * 8
