@@ -183,3 +183,50 @@ def digest(found: DataFrame) -> DataFrame:
     """``repair``'s rows with a hash of the repaired turns in place of them."""
     joined = F.array_join(F.transform("lines", lambda x: F.concat(x["role"], F.lit(":"), x["text"])), "\n")
     return found.withColumn("repaired_sha256", F.sha2(joined, 256)).drop("lines")
+
+
+def _oracle() -> str:
+    """The same in SQL, row by row in a recursive query; a place is its cost in six digits, then its code."""
+    add = lambda x, cost, code: f"(lpad((left({x}, 6)::INTEGER + {cost})::VARCHAR, 6, '0') || substr({x}, 7) || '{code}')"
+    inserted = lambda rows: f"(SELECT * REPLACE (least(a, {add('u', 2, 'C')}) AS a) FROM (SELECT * REPLACE (least(u, {add('e', 2, 'B')}, {add('s', 2, 'B')}, {add('a', 2, 'B')}) AS u) FROM {rows}))"
+    stays = "coalesce(fault, '') NOT IN ('blank', 'duplicate')"
+    keep = lambda initial, x: f"CASE WHEN {stays} AND left(role, 1) = '{initial}' THEN {add(x, 'more', 'D')} END"
+    turn = lambda x, code: f"CASE WHEN {stays} THEN {add(x, 'more + 2', code)} END"
+    first = "least(e, s, a)"
+    return rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+kinds AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(name, ''), lambda c: ascii(c)::BIGINT)),
+          lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295::BIGINT) % 20 AS kind FROM named, crc),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+told AS (SELECT *, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last_one,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged),
+ended AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS i FROM told),
+flagged AS (SELECT *, CASE WHEN last_one = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last_one NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM ended),
+turns AS (SELECT conv_id AS t_conv, i AS t_i, role, text, fault, pair, turn, coalesce(fault = 'truncated', false)::INTEGER AS more FROM flagged),
+counted AS (SELECT c.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+            count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(i) AS n
+            FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN flagged f ON c.conv_id IS NOT DISTINCT FROM f.conv_id GROUP BY c.conv_id),
+places(conv_id, i, e, s, u, a) AS (
+  SELECT conv_id, 0::BIGINT, '000000', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM counted
+  UNION ALL
+  SELECT conv_id, t_i, {add('e', 3, 'A')}, least({add('s', 3, 'A')}, {keep('s', 'e')}),
+         least({add('u', 3, 'A')}, {keep('u', first)}, {turn(first, 'E')}), least({add('a', 3, 'A')}, {keep('a', 'u')}, {turn('u', 'F')})
+  FROM {inserted('places')} JOIN turns ON conv_id IS NOT DISTINCT FROM t_conv AND t_i = i + 1),
+best AS (SELECT p.conv_id, least(e, a) AS b FROM {inserted('places')} p JOIN counted c ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.i = c.n),
+codes AS (SELECT conv_id, left(b, 6)::BIGINT AS cost, substr(b, 7) AS code FROM best),
+pieces AS (SELECT conv_id, unnest(regexp_extract_all(code, '[BC]*[ADEF]')) AS piece, generate_subscripts(regexp_extract_all(code, '[BC]*[ADEF]'), 1) AS p_i FROM codes),
+written AS (SELECT conv_id, string_agg(replace(replace(regexp_extract(piece, '^[BC]*'), 'B', 'user:' || chr(10)), 'C', 'assistant:' || chr(10)) ||
+            CASE right(piece, 1) WHEN 'A' THEN '' WHEN 'D' THEN role || ':' || text || chr(10) WHEN 'E' THEN 'user:' || text || chr(10) ELSE 'assistant:' || text || chr(10) END, '' ORDER BY p_i) AS w
+            FROM pieces JOIN turns ON conv_id IS NOT DISTINCT FROM t_conv AND p_i = t_i GROUP BY conv_id),
+whole AS (SELECT k.conv_id, cost, code, coalesce(w, '') || replace(replace(regexp_extract(code, '[BC]*$'), 'B', 'user:' || chr(10)), 'C', 'assistant:' || chr(10)) AS w
+          FROM codes k LEFT JOIN written x ON k.conv_id IS NOT DISTINCT FROM x.conv_id)
+SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, cost, translate(code, 'ABCDEF', '{INITIALS}') AS audit, sha256(substr(w, 1, greatest(length(w) - 1, 0))) AS repaired_sha256
+FROM counted c JOIN whole w ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+"""
+
+
+ORACLE_SQL = _oracle()

@@ -80,4 +80,5 @@ ORACLES = {
     "op8_mix_sources": mixing.ORACLE_SQL,
     "op11_exact_dedup": exact_dedup.ORACLE_SQL,
     "op12_ranked_search": ranked_search.ORACLE_SQL,
+    "op13_conversation_repair": conversation_repair.ORACLE_SQL,
 }

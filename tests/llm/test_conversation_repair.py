@@ -5,6 +5,7 @@ import random
 import zlib
 from functools import cache
 
+import duckdb
 import pytest
 
 from seatloom.llm import conversation_repair as repair
@@ -97,6 +98,13 @@ def test_repair(spark, made, chunk):
         assert result(frame, chunk=chunk) == brute({r[0] for r in made}, whole)
 
 
+def test_sql(made):
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", made)
+    assert sorted((tuple(r) for r in con.sql(repair.ORACLE_SQL).fetchall()), key=str) == brute({r[0] for r in made}, damaged(made))
+
+
 def test_tables(spark, sf_dir):
     frame = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     rows = [tuple(r) for r in frame.select("conv_id", "turn", "role", "text").collect()]
