@@ -143,25 +143,28 @@ def alias_export(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT record_key, class_id, professor_id, action, warn_inaccuracy FROM (VALUES ('r1', 'k1', 'p1', 'update', true), ('r1', 'new', 'p2', 'create', true), ('r2', 'k2', 'p1', 'update', false), ('r3', 'k3', NULL, 'update', false), ('r3', NULL, NULL, 'deactivate', false)) t(record_key, class_id, professor_id, action, warn_inaccuracy)""")
+WITH s AS (SELECT p_partkey AS k, p_size % 4 AS c, 'p' || a.s_suppkey AS s1, 'p' || b.s_suppkey AS s2 FROM part JOIN supplier a ON a.s_suppkey = p_partkey % 10 JOIN supplier b ON b.s_suppkey = (p_partkey + 1) % 10)
+SELECT 'r' || k AS record_key, 'a' || k AS class_id, s1 AS professor_id, 'update' AS action, true AS warn_inaccuracy FROM s WHERE c = 0 UNION ALL SELECT 'r' || k, 'new', s2, 'create', true FROM s WHERE c = 0
+UNION ALL SELECT 'r' || k, 'b' || k, s1, 'update', false FROM s WHERE c = 1 UNION ALL SELECT 'r' || k, 'c' || k, NULL, 'update', false FROM s WHERE c = 2 UNION ALL SELECT NULL, 'd' || k, NULL, 'deactivate', false FROM s WHERE c = 2""")
 def class_changes(spark: SparkSession, sf: str) -> DataFrame:
-    """Small tables: a class that a second professor joins, one that changes hands, one of two whose professors go."""
-    raw = spark.createDataFrame(
-        [("r1", 1, TERM, 11, "M1", "G1", "Graded", None), ("r2", 2, TERM, 12, "M1", "G2", "Graded", None), ("r3", 3, TERM, 13, "M2", "G1", None, None), ("r4", 4, TERM, 14, "unknown", "G1", None, None), (None, 5, TERM, 15, "M1", "G1", None, None)],
-        "record_key string, position int, acad_term_id string, class_boss_id int, course_code string, section string, grading_basis string, course_outline_url string",
-    )
-    meetings = spark.createDataFrame([("r1", 1, "Ann Lee"), ("r1", 2, "Bob Tan, ANN LEE"), ("r2", 3, "ann lee"), ("r3", 4, "TBA")], "record_key string, position int, professor_name string")
-    people = spark.createDataFrame([("p1", "ANN LEE"), ("p2", "BOB TAN"), ("p3", "CY")], "id string, alias string")
-    courses = spark.createDataFrame([("m1", "M1"), ("m2", "M2")], "id string, code string")
-    old = spark.createDataFrame(
-        [("k1", "G1", "m1", "p1", TERM, "Graded", None, 11, False), ("k2", "G2", "m1", "p3", TERM, "Graded", None, 12, False), ("k3", "G1", "m2", "p1", TERM, None, None, 13, False), ("k4", "G1", "m2", "p2", TERM, None, None, 13, False)], schemas.CLASSES
+    """Parts as classes of their suppliers: one that a second professor joins, one that changes hands, two whose professors go, one of an unknown course."""
+    sup = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    one, two = sup.select(F.col("s_suppkey").alias("k1"), F.col("s_name").alias("n1")), sup.select(F.col("s_suppkey").alias("k2"), F.col("s_name").alias("n2"))
+    k, text, nothing = F.col("p_partkey"), lambda x, c: F.concat(F.lit(x), c.cast("string")), F.lit(None).cast("string")
+    parts = table(spark, sf, "part").join(one, F.col("k1") == k % 10).join(two, F.col("k2") == (k + 1) % 10).withColumn("c", F.col("p_size") % 4)
+    c = F.col("c")
+    raw = parts.select(text("r", k).alias("record_key"), k.cast("int").alias("position"), F.lit(TERM).alias("acad_term_id"), k.cast("int").alias("class_boss_id"), F.when(c == 3, "unknown").otherwise("M1").alias("course_code"), F.lit("G1").alias("section"), F.lit("Graded").alias("grading_basis"), nothing.alias("course_outline_url"))
+    said = F.when(c == 0, F.array(F.col("n1"), F.concat("n2", F.lit(", "), F.lower("n1")))).when(c == 1, F.array(F.lower("n1"))).otherwise(F.array(F.lit("TBA")))
+    meetings = parts.select(text("r", k).alias("record_key"), F.posexplode(said).alias("position", "professor_name"))
+    people, courses = sup.select(text("p", F.col("s_suppkey")).alias("id"), F.upper("s_name").alias("alias")), spark.createDataFrame([("m1", "M1")], "id string, code string")
+    held = F.when(c == 0, F.array(F.struct(text("a", k).alias("id"), text("p", F.col("k1")).alias("professor_id")))).when(c == 1, F.array(F.struct(text("b", k).alias("id"), text("p", F.col("k2")).alias("professor_id"))))
+    held = held.when(c == 2, F.array(F.struct(text("c", k).alias("id"), text("p", F.col("k1")).alias("professor_id")), F.struct(text("d", k).alias("id"), text("p", F.col("k2")).alias("professor_id"))))
+    old = parts.select(F.explode(held).alias("h"), k.cast("int").alias("boss_id")).select(
+        "h.id", F.lit("G1").alias("section"), F.lit("m1").alias("course_id"), "h.professor_id", F.lit(TERM).alias("acad_term_id"), F.lit("Graded").alias("grading_basis"), nothing.alias("course_outline_url"), "boss_id", F.lit(False).alias("warn_inaccuracy")
     )
     changed, records = facts.class_changes(raw, facts.professors_of_records(meetings, people), courses, old)
     both = changed.join(records.withColumnRenamed("class_id", "id"), "id", "left")
-    gone = F.col("action") == "deactivate"
-    return both.select(
-        F.when(gone, "r3").otherwise(F.col("record_key")).alias("record_key"), F.when(~gone, F.when(F.length("id") > 9, "new").otherwise(F.col("id"))).alias("class_id"), "professor_id", "action", "warn_inaccuracy"
-    )
+    return both.select("record_key", F.when(F.col("action") == "create", "new").otherwise(F.col("id")).alias("class_id"), "professor_id", "action", "warn_inaccuracy")
 
 
 @query("""
