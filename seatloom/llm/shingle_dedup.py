@@ -1,8 +1,8 @@
-"""Near-dedup by word shingles: MinHash bands propose, exact Jaccard decides, links are followed to components.
+"""Near-dedup by word shingles: SimHash groups and MinHash bands propose, exact Jaccard decides, links are followed to components.
 
-A document is the set of hashes of its runs of ``shingle`` words, as in ``simhash``. Fingerprints of 64 bits can't find every pair of
-Jaccard 0.8: about ten bits differ there, often many more, and no cut into blocks that can be searched allows for that. So sets get
-``BANDS`` keys of ``ROWS`` least hashes each. A pair of Jaccard j shares no key with a chance of (1 - j**ROWS)**BANDS, at 0.8
+A document is the set of hashes of its runs of ``shingle`` words, as in ``simhash``, whose BK-trees give each document the group of its fingerprint. Fingerprints
+of 64 bits can't find every pair of Jaccard 0.8: about ten bits differ there, often many more, and no cut into blocks that can be searched allows for that. So sets get,
+besides the group, ``BANDS`` keys of ``ROWS`` least hashes each. A pair of Jaccard j shares no key with a chance of (1 - j**ROWS)**BANDS, at 0.8
 less than one in a million. Unlike sets are kept apart by the keys' length, so one common line doesn't join documents.
 
 Equal sets are one. Sets that share keys, directly or through others, form a family; within a family every pair is compared exactly
@@ -58,19 +58,20 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def prints_of(docs: DataFrame, shingle: int) -> DataFrame:
-    """Documents with row_key -> doc_id, row_key, fp (hash of the whole set), bands."""
+    """Documents with row_key -> doc_id, row_key, fp (hash of the whole set), bands, sim (the SimHash fingerprint)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, bands = np.zeros(batch.num_rows, np.uint64), np.zeros((batch.num_rows, BANDS), np.uint64)
+            prints, bands, sims = np.zeros(batch.num_rows, np.uint64), np.zeros((batch.num_rows, BANDS), np.uint64), np.zeros(batch.num_rows, np.uint64)
             for i, text in enumerate(batch.column(1).cast(pa.binary())):
-                hashes = shingle_set(text.as_py(), shingle)
+                every = simhash.shingle_hashes(text.as_py() or b"", shingle)
+                hashes, sims[i] = np.unique(every), simhash.fingerprint(every)
                 prints[i], bands[i] = xxhash.xxh64_intdigest(hashes.tobytes(), 7), band_keys(hashes)
             ends = pa.array(np.arange(0, batch.num_rows * BANDS + 1, BANDS, dtype=np.int32))
             lists = pa.ListArray.from_arrays(ends, pa.array(bands.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64)), lists], ["doc_id", "row_key", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints.view(np.int64)), lists, pa.array(sims.view(np.int64))], ["doc_id", "row_key", "fp", "bands", "sim"])
 
-    return in_arrow(docs.select("doc_id", "text", "row_key"), run, "doc_id long, row_key long, fp long, bands array<long>")
+    return in_arrow(docs.select("doc_id", "text", "row_key"), run, "doc_id long, row_key long, fp long, bands array<long>, sim long")
 
 
 def near_pairs(names: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -95,7 +96,9 @@ def near_pairs(names: list[int], sets: list[np.ndarray], similarity: float) -> l
 def near_links(docs: DataFrame, prints: DataFrame, shingle: int, similarity: float, chunk: int, max_bits: int) -> DataFrame:
     """Documents with row_key and their prints -> links (a, b) that connect all sets of at least ``similarity``."""
     spark = docs.sparkSession
-    keyed = materialise(prints.select("fp", F.explode("bands").alias("key")).distinct(), "bands")
+    groups = simhash.component_roots(prints.select(F.col("sim").alias("fp")), simhash.RADIUS, simhash.LEAF)
+    alike = prints.select("fp", "sim").distinct().join(groups, F.col("sim") == F.col("l_fp")).select("fp", F.xxhash64("root", F.lit("simhash")).alias("key"))
+    keyed = materialise(prints.select("fp", F.explode("bands").alias("key")).distinct().unionByName(alike), "bands")
     shared = materialise(keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low != high").select("key", "low"), "shared-bands")
     families = components(keyed.join(shared, "key").filter("fp != low").select(F.col("fp").alias("a"), F.col("low").alias("b")))
     families = materialise(families.select(F.col("node").alias("fp"), F.col("component").alias("family")), "families")
