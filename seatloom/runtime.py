@@ -8,14 +8,15 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 import seatloom
 
-#: Tables written in the scopes that are open, innermost last.
-_SCOPES: list[list[str]] = []
+#: Tables written in the scopes that are open here, innermost last; threads have scopes of their own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -62,8 +63,8 @@ def materialise(df: DataFrame, name: str, scoped: bool = True) -> DataFrame:
     ship(df.sparkSession)
     path = f"{scratch_dir(df.sparkSession)}/seatloom-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if _SCOPES and scoped:
-        _SCOPES[-1].append(path)
+    if scoped and (opened := _SCOPES.get()):
+        opened[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -83,11 +84,13 @@ def discard(*frames: DataFrame) -> None:
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Tables written inside are deleted at the end. Results that are still read lazily must be written before, or outside."""
-    _SCOPES.append([])
+    written: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), written))
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPES.reset(token)
+        for path in written:
             _delete(spark, path)
 
 

@@ -164,7 +164,8 @@ class WorkbookReader(DataSourceReader):
             if f.name == "source_file":
                 columns.append(pa.array([name] * len(rows), pa.string()))
             elif f.name == "row" and f.name not in place:
-                columns.append(pa.array([n for n, _ in rows], pa.int64()))
+                told = pa.array([n for n, _ in rows], pa.int64())
+                columns.append(told.cast(pa.string()) if isinstance(f.dataType, StringType) else told)
             elif f.name == "cells" and f.name not in place:
                 columns.append(pa.array([list(dict(zip(head, v, strict=False)).items()) for _, v in rows], pa.map_(pa.string(), pa.string())))
             else:
