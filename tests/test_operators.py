@@ -65,7 +65,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "labels"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     df = catalog.QUERIES[name](spark, sf_dir)
     result = con.execute(catalog.ORACLES[name])
