@@ -46,8 +46,8 @@ class Fit:
         likely = [self.n * (math.lgamma((d + 1) / 2) - math.lgamma(d / 2) - 0.5 * math.log(d * math.pi)) - (d + 1) / 2 * x for d, x in zip(tried, logs, strict=True)]
         best = max(range(9), key=lambda i: (likely[i], -abs(i - 4)))
         df, inside = tried[best], 0 < best < 8 or tried[best] in LIGHT_TAILS
-        near = max(abs(df - self.df) / df, abs(shift) / scale if scale else 0.0, abs(scale - self.scale) / self.scale) < 1e-6
-        return Fit(self.n, df, loc, scale, self.step / 3 if inside else self.step, not scale or (near and self.step < 1e-5))
+        near = max(abs(df - self.df) / df, abs(shift) / scale if scale else 0.0, abs(scale - self.scale) / self.scale) < 1e-8
+        return Fit(self.n, df, loc, scale, self.step / 3 if inside else self.step, not scale or (near and self.step < 1e-6))
 
 
 #: Least and largest degrees of freedom of a fit; beyond, the curve is no t or as good as normal.
