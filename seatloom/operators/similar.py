@@ -52,14 +52,10 @@ def subset_pairs(left: DataFrame, right: DataFrame, least: int = 2, hot: int = H
 
 
 def pairs_of_letters(text: Column) -> Column:
-    """Each pair of neighbouring letters with its number among equal ones and its place: structs of piece and at."""
+    """Each pair of neighbouring letters with its place: structs of piece and at. Equal pairs aren't numbered: an edit would number all later ones anew."""
     n = F.length(text)
-    each = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2)))
-
-    def numbered(pairs: Column) -> Column:
-        return F.transform(pairs, lambda p, i: F.struct(F.concat(p, (F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda q: q == p))).cast("string")).alias("piece"), i.alias("at")))
-
-    return F.when(n >= 2, F.transform(F.array(each), numbered)[0]).otherwise(F.array().cast("array<struct<piece:string,at:int>>"))
+    each = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.struct(F.substring(text, i, F.lit(2)).alias("piece"), i.alias("at")))
+    return F.when(n >= 2, each).otherwise(F.array().cast("array<struct<piece:string,at:int>>"))
 
 
 def rarest(pieces: DataFrame, name: str, many: Column) -> DataFrame:
@@ -74,8 +70,8 @@ def rarest(pieces: DataFrame, name: str, many: Column) -> DataFrame:
 def within_edits(left: DataFrame, right: DataFrame, most: int = 2, hot: int = HOT) -> DataFrame:
     """Names (a) and names (b) -> a, b, edits: all pairs of at most ``most`` insertions, deletions and replacements of letters.
 
-    Each edit changes at most two pairs of letters, so one of any ``2 * most + 1`` is left, at most ``most`` places away; names that are too short for
-    that meet by what is left of them after up to ``most`` deletions.
+    Each edit changes at most two pairs of letters, so one of any ``2 * most + 1`` is left, at most ``most`` places away, and the first that is left, by rareness, pair
+    and place, is among so many of both names. Names that are too short for that meet by what is left of them after up to ``most`` deletions.
     """
     lost = 2 * most
     sides = [df.select(F.col(c).alias("name")).filter(F.col(c) != "").distinct().withColumn("side", F.lit(c)) for df, c in ((left, "a"), (right, "b"))]

@@ -62,6 +62,13 @@ def test_edits(spark, made, most, hot):
     assert {tuple(r) for r in similar.nearest(a, b, most, hot).collect()} == set(best.values())
 
 
+@pytest.mark.parametrize(("x", "y"), [("bebebebe", "bblebebe"), ("bebebebe", "blebebee"), ("Thlylyly", "Thblelyly")])
+def test_edits_of_repeated_letters(spark, x, y):
+    """An edit before equal pairs of letters moves all of them; the names still meet."""
+    a, b = spark.createDataFrame([(x,)], "a string"), spark.createDataFrame([(y,)], "b string")
+    assert [tuple(r) for r in similar.within_edits(a, b, 2).collect()] == [(x, y, 2)]
+
+
 @pytest.mark.parametrize(("least", "hot"), [(90, similar.HOT), (80, 20), (100, 5)])
 def test_alike(spark, made, least, hot):
     want = {(a, b, s) for a in set(made[0]) for b in set(made[1]) if (s := NM.likeness(a, b)) >= least}
