@@ -1,6 +1,6 @@
-"""Names that are like other names, without comparing all pairs: q-gram prefixes for edits and fuzzy scores, rarest words for subsets.
+"""Names that are like other names: q-gram prefixes for edits and rarest words for subsets, without comparing all pairs; fuzzy scores block by block.
 
-Each distinct name is indexed by pieces (pairs of letters, words), and a name asks by few of its rarest ones: with at most ``e`` of its pieces lost in any name that
+For edits and subsets each distinct name is indexed by pieces (pairs of letters, words), and a name asks by few of its rarest ones: with at most ``e`` of its pieces lost in any name that
 is like it, one of any ``e + 1`` is left. Counts of common pieces, places and lengths drop what can't be near enough, and only the rest is measured. Pieces held by
 more than ``HOT`` names are dealt over several groups, the names that ask for them going to each.
 
@@ -9,8 +9,11 @@ Null and empty names match nothing.
 
 from __future__ import annotations
 
-import math
+from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,8 @@ from seatloom.runtime import materialise
 
 #: A piece that more names hold is dealt out in groups of about so many.
 HOT = 10_000
+#: Names of one block of fuzzy scores, the least number of blocks of a side, the most tasks that pairs of blocks are dealt to.
+BLOCK, BLOCKS, PARTS = 8_192, 4, 512
 
 
 def words(name: Column) -> Column:
@@ -95,55 +100,161 @@ def nearest(left: DataFrame, right: DataFrame, most: int = 2, hot: int = HOT) ->
     return first_per_key(within_edits(left, right, most, hot), ["a"], [F.col("edits"), F.col("b")])
 
 
-def _indexed(names: DataFrame, side: str, least: int) -> DataFrame:
-    """Distinct names with their pieces, how many of them any name that scores ``least`` must hold (``need``), and how many may be lost.
-
-    A score of s needs, of the n letters of the shorter text, n * s / (200 - s) in a stretch of the other, so at most n * (200 - 2s) / (200 - s) letters and twice as many
-    pairs inside words are lost. Names of too few pairs ask by letters.
+class _Texts:
+    """Names of one block in the form that ``names.likeness`` compares, whole and as sorted distinct words, as numbers of letters (0: none)."""
+
+    def __init__(self, names: list[str], letters: dict[str, int], counted: dict[tuple[str, int], int], words: dict[str, int]):
+        self.texts = [" ".join(t.upper().replace(",", " ").split()) for t in names]
+        parts = [sorted(set(t.split())) for t in self.texts]
+        self.whole = self._coded(self.texts, letters)
+        self.sorted = self._coded([" ".join(p) for p in parts], letters)
+        self.words = np.zeros((len(parts), max(map(len, parts), default=1)), np.int64)
+        for row, p in zip(self.words, parts, strict=True):
+            row[: len(p)] = [words.setdefault(w, len(words) + 1) for w in p]
+        # each letter with its number among equal ones, so common ones count as often as both have them
+        self.has = [[counted.setdefault((c, k), len(counted)) for c, n in Counter(t).items() for k in range(n)] for t in self.texts]
+
+    @staticmethod
+    def _coded(texts: list[str], letters: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        size = np.array([len(t) for t in texts], np.int64)
+        out = np.zeros((len(texts), int(size.max(initial=0))), np.int32)
+        for row, t in zip(out, texts, strict=True):
+            row[: len(t)] = [letters.setdefault(c, len(letters) + 1) for c in t]
+        return out, size
+
+    def incidence(self, width: int) -> np.ndarray:
+        out = np.zeros((len(self.texts), width), np.float32)
+        for row, h in zip(out, self.has, strict=True):
+            row[h] = 1
+        return out
+
+
+def _hits(short: tuple[np.ndarray, np.ndarray], i: np.ndarray, long: tuple[np.ndarray, np.ndarray], j: np.ndarray) -> np.ndarray:
+    """For each letter of the long texts (rows) and each pair: the places of the short text that hold it, as bits."""
+    s, t = short[0][i][:, : int(short[1][i].max(initial=0))].T, long[0][j][:, : int(long[1][j].max(initial=0))].T
+    out = np.zeros(t.shape, np.uint64)
+    for place, letter in enumerate(s):
+        out |= (np.where(letter > 0, letter, -1) == t).astype(np.uint64) << np.uint64(place)
+    return out
+
+
+def _full(n: np.ndarray) -> np.ndarray:
+    return np.uint64(2**64 - 1) >> (64 - n).astype(np.uint64)
+
+
+def _lcs(short: tuple[np.ndarray, np.ndarray], i: np.ndarray, long: tuple[np.ndarray, np.ndarray], j: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs, bit by bit; short texts of 1 to 64 letters."""
+    n = short[1][i]
+    full = _full(n)
+    row = full.copy()
+    for hit in _hits(short, i, long, j):
+        hit &= row
+        row = ((row + hit) | (row - hit)) & full
+    return n - np.bitwise_count(row)
+
+
+def _partial(short: tuple[np.ndarray, np.ndarray], i: np.ndarray, long: tuple[np.ndarray, np.ndarray], j: np.ndarray) -> np.ndarray:
+    """Largest ratio of each short text to a stretch of the long one of at most its length, by ``names.likeness``."""
+    out = np.zeros(len(i))
+    for n in np.unique(short[1][i]):
+        own = np.flatnonzero(short[1][i] == n)
+        hits, m = _hits(short, i[own], long, j[own]), long[1][j[own]]
+        full, best = _full(np.array([n]))[0], np.zeros(len(own))
+        hits = np.concatenate([hits, np.zeros((n, len(own)), np.uint64)])
+        for start in range(int(m.max())):
+            row = np.full(len(own), full, np.uint64)
+            for k in range(n):
+                hit = hits[start + k] & row
+                row = ((row + hit) | (row - hit)) & full
+                if start == 0 or k == n - 1:
+                    size = np.minimum(k + 1, m - start)
+                    ratio = 200 * (n - np.bitwise_count(row)) / (n + np.maximum(size, 0))
+                    best = np.maximum(best, np.where(size > 0, ratio, 0))
+        out[own] = best
+    return out
+
+
+def _scores(a: _Texts, b: _Texts, i: np.ndarray, j: np.ndarray, least: int) -> np.ndarray:
+    """``names.likeness`` of pairs of texts where it is at least ``least``; 0 or less than that elsewhere."""
+    s, out = least - 0.5, np.zeros(len(i), np.int64)  # scores are rounded
+    need = s / (200 - s)
+    x, y = a.whole[1][i], b.whole[1][j]
+    long = np.minimum(x, y) > 64
+    for turned, own in ((False, ~long & (x <= y)), (True, ~long & (x > y))):
+        at = np.flatnonzero(own)
+        pair = (b.whole, j, a.whole, i) if turned else (a.whole, i, b.whole, j)
+        take = lambda p: (pair[0], pair[1][p], pair[2], pair[3][p])  # noqa: B023, E731
+        common, n = _lcs(*take(at)), pair[0][1][pair[1][at]]
+        at = at[common >= n * need - 1e-9]
+        out[at] = np.rint(_partial(*take(at))).astype(np.int64)
+    both = np.zeros(len(i), bool)
+    for c in a.words.T:
+        for d in b.words.T:
+            both |= (c[i] == d[j]) & (c[i] > 0)
+    x, y = a.sorted[1][i], b.sorted[1][j]
+    alone = ~both & ~long & (x <= 64) & (200 * np.minimum(x, y) / (x + y) >= s - 1e-9)
+    at = np.flatnonzero(alone)
+    out[at] = np.maximum(out[at], np.rint(200 * _lcs(a.sorted, i[at], b.sorted, j[at]) / (x[at] + y[at])).astype(np.int64))
+    # words in common, texts in others, and long ones: some pairs, one by one
+    told = ~both & ~long & (x > 64)
+    for k in np.flatnonzero(both | told):
+        out[k] = max(out[k], round(NM._token_set(a.texts[i[k]], b.texts[j[k]])))
+    for k in np.flatnonzero(long):
+        out[k] = NM.likeness(a.texts[i[k]], b.texts[j[k]])
+    for k in np.flatnonzero(out >= least):
+        if a.texts[i[k]] in b.texts[j[k]] or b.texts[j[k]] in a.texts[i[k]]:
+            out[k] = 95
+    return out
+
+
+def _alike_in_block(left: list[str], right: list[str], least: int, strip: int = 1 << 22, chunk: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places in both lists and scores of the pairs that score at least ``least``; a strip of pairs after another."""
+    letters, counted, words = {}, {}, {}
+    a, b = (_Texts(names, letters, counted, words) for names in (left, right))
+    x, y = a.incidence(len(counted)), b.incidence(len(counted)).T.copy()
+    need = (least - 0.5) / (200 - (least - 0.5))
+    # as many letters of the shorter text, its repeated words but once, as its longest common subsequence with a stretch of the other must have
+    asked_a, asked_b = (need * t.sorted[1] - 1e-3 for t in (a, b))
+    height = max(1, strip // max(1, len(right)))
+    for first in range(0, len(left), height):
+        common = x[first : first + height] @ y
+        i, j = np.nonzero(common >= np.minimum(asked_a[first : first + height, None], asked_b[None, :]))
+        for k in range(0, len(i), chunk):
+            p, q = i[k : k + chunk] + first, j[k : k + chunk]
+            score = _scores(a, b, p, q, least)
+            found = score >= least
+            yield p[found], q[found], score[found]
+
+
+def alike(left: DataFrame, right: DataFrame, least: int = 90, block: int = BLOCK) -> DataFrame:
+    """Names (a) and names (b) -> a, b, score: all pairs of a fuzzy score (``names.likeness``) of at least ``least``, which is 80 or more.
+
+    Names of each side are dealt into blocks of about ``block``; each pair of blocks is judged where both meet, and pairs are never shuffled. Common letters, counted
+    by a product of matrices, drop most pairs, longest common subsequences most of the rest. So work still grows with the product of both sides, at some ten
+    nanoseconds a pair.
     """
-    s = least - 0.5  # scores are rounded
-    letter_share = (200 - 2 * s) / (200 - s)
-    text = F.array_join(F.filter(F.split(F.replace(F.upper(F.col(side)), F.lit(","), F.lit(" ")), r"\s+"), lambda w: w != ""), " ")
-    flat = names.select(F.col(side)).filter(F.col(side).isNotNull()).distinct().withColumn("text", text).filter("text != ''")
-    inside = F.flatten(F.transform(F.split("text", " "), lambda w: F.transform(F.filter(F.sequence(F.lit(1), F.length(w)), lambda i: i < F.length(w)), lambda i: F.substring(w, i, F.lit(2)))))
-    flat = flat.withColumns({"pairs": F.array_distinct(inside), "letters": F.array_distinct(F.filter(F.split("text", ""), lambda c: (c != "") & (c != " "))), "n": F.length("text")})
-    lost = {"pairs": F.floor(F.col("n") * (2 * letter_share) + 1e-9), "letters": F.floor(F.col("n") * letter_share + 1e-9)}
-    by_pairs = F.size("pairs") > lost["pairs"]
-    return flat.withColumns(
-        {"by_pairs": by_pairs, "lost": F.when(by_pairs, lost["pairs"]).otherwise(lost["letters"]).cast("int"), "need": F.greatest(F.lit(1), F.when(by_pairs, F.size("pairs") - lost["pairs"]).otherwise(F.size("letters") - lost["letters"])).cast("int")}
-    )
-
-
-def alike(left: DataFrame, right: DataFrame, least: int = 90, hot: int = HOT) -> DataFrame:
-    """Names (a) and names (b) -> a, b, score: all pairs of a fuzzy score (``names.likeness``) of at least ``least``, which is 80 or more."""
     if not 80 <= least <= 100:
         raise ValueError("least must be 80 to 100")
-    told = {side: materialise(_indexed(df, side, least), f"names-{side}") for side, df in (("a", left), ("b", right))}
-    kinds = F.array(F.struct(F.lit(True).alias("by_pairs"), F.col("pairs").alias("pieces")), F.struct(F.lit(False).alias("by_pairs"), F.col("letters").alias("pieces")))
-    tagged = lambda x: F.concat(F.when(x["by_pairs"], "p").otherwise("l"), x["piece"])
-
-    def held(side: str) -> DataFrame:
-        """All pieces of the names of a side."""
-        each = told[side].select(F.col(side).alias("b"), F.explode(kinds).alias("k")).select("b", "k.by_pairs", F.explode("k.pieces").alias("piece"))
-        return each.select("b", tagged(F.struct("by_pairs", "piece")).alias("piece"))
-
-    count = materialise(held("a").unionByName(held("b")).groupBy(F.col("piece").alias("c_piece")).agg(F.count("*").alias("n")), "piece-counts")
-
-    def asking(side: str) -> DataFrame:
-        """The rarest pieces of the names of a side: one more than may be lost."""
-        own = told[side].select(F.col(side).alias("a"), "lost", "by_pairs", F.explode(F.when(F.col("by_pairs"), F.col("pairs")).otherwise(F.col("letters"))).alias("piece"))
-        own = own.select("a", "lost", tagged(F.struct("by_pairs", "piece")).alias("piece")).join(count, F.col("piece") == F.col("c_piece"))
-        first = own.groupBy("a", "lost").agg(F.sort_array(F.collect_list(F.struct("n", "piece"))).alias("p"))  # as long as a name
-        return first.select("a", F.explode(F.slice("p", F.lit(1), F.col("lost") + 1)).alias("x")).select("a", "x.piece")
-
-    pairs = shared(asking("a"), held("b"), hot).unionByName(shared(asking("b"), held("a"), hot).select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    x, y = (told[s].select(s, *[F.col(c).alias(f"{s}_{c}") for c in ("pairs", "letters", "by_pairs", "need")]) for s in ("a", "b"))
-    common = {k: F.size(F.array_intersect(f"a_{k}", f"b_{k}")) for k in ("pairs", "letters")}
-    enough = lambda s: F.when(F.col(f"{s}_by_pairs"), common["pairs"]).otherwise(common["letters"]) >= F.col(f"{s}_need")
-    likely = pairs.join(x, "a").join(y, "b").filter(enough("a") | enough("b")).select("a", "b")
-    return materialise(likely, "likely").withColumn("score", NM.fuzzy_score(F.col("a"), F.col("b"))).filter(F.col("score") >= least)
-
-
-def best_alike(left: DataFrame, right: DataFrame, least: int = 90, hot: int = HOT) -> DataFrame:
+    blank = F.trim(F.regexp_replace(F.col("name"), r"[,\s]+", " ")) == ""
+    told = {s: materialise(df.select(F.col(s).alias("name")).filter(F.col("name").isNotNull() & ~blank).distinct(), f"names-{s}") for s, df in (("a", left), ("b", right))}
+    many = {s: max(BLOCKS, -(-df.count() // block)) for s, df in told.items()}
+    own = lambda s: F.pmod(F.xxhash64("name"), F.lit(many[s])).cast("int")
+    every = lambda s: F.explode(F.sequence(F.lit(0), F.lit(many[s] - 1)))
+    parts = min(many["a"] * many["b"], PARTS)
+    dealt = {
+        "a": told["a"].withColumn("i", own("a")).withColumn("j", every("b")).repartition(parts, "i", "j"),
+        "b": told["b"].withColumn("j", own("b")).withColumn("i", every("a")).repartition(parts, "i", "j"),
+    }
+
+    def run(x: pa.Table, y: pa.Table) -> pa.Table:
+        a, b = x.column("name").to_pylist(), y.column("name").to_pylist()
+        none = (np.zeros(0, np.int64),) * 3
+        i, j, score = (np.concatenate(c) for c in zip(none, *(_alike_in_block(a, b, least) if a and b else ()), strict=True))
+        return pa.table({"a": pa.array([a[k] for k in i], pa.string()), "b": pa.array([b[k] for k in j], pa.string()), "score": pa.array(score, pa.int32())})
+
+    return dealt["a"].groupBy("i", "j").cogroup(dealt["b"].groupBy("i", "j")).applyInArrow(run, "a string, b string, score int")
+
+
+def best_alike(left: DataFrame, right: DataFrame, least: int = 90, block: int = BLOCK) -> DataFrame:
     """Names (a) -> a, b, score: the best name of at least ``least``, the first of equals; only names that have one."""
-    return first_per_key(alike(left, right, least, hot), ["a"], [F.desc("score"), F.col("b")])
+    return first_per_key(alike(left, right, least, block), ["a"], [F.desc("score"), F.col("b")])

@@ -80,3 +80,20 @@ def test_alike(spark, made, least, hot):
     assert {tuple(r) for r in similar.best_alike(a, b, least, hot).collect()} == set(best.values())
     with pytest.raises(ValueError, match="least"):
         similar.alike(a, b, 50)
+
+
+def test_blocks_of_scores():
+    """A block's pairs are scored as one by one: names of 63 to 66 letters and more, repeated words, other scripts; a thousand by a thousand take seconds."""
+    import time
+
+    rng = random.Random(5)
+    long = ["".join(rng.choice("abcd ") for _ in range(n)).strip() or "a" for n in (63, 64, 64, 65, 66, 130)]
+    known = [n for n in names_of(4, 60) if n] + long + ["an an an an", "an x", "ÄÖ ß straße", "strasse äö", "李 小龙", "小龙 李", " b  a ", "a,b"]
+    asked = changed(known, 6) + known
+    for least in (80, 85, 95):
+        want = {(i, j, s) for i, a in enumerate(asked) for j, b in enumerate(known) if (s := NM.likeness(a, b)) >= least}
+        got = {tuple(map(int, r)) for part in similar._alike_in_block(asked, known, least, strip=500, chunk=77) for r in zip(*part, strict=True)}
+        assert got == want
+    many, began = [" ".join(rng.choice(SYLLABLES) + rng.choice(SYLLABLES) for _ in range(3)) for _ in range(2000)], time.monotonic()
+    assert sum(len(p[0]) for p in similar._alike_in_block(many[:1000], many[1000:], 85)) > 0
+    assert time.monotonic() - began < 40  # one by one they take minutes
