@@ -116,12 +116,20 @@ def word(n: int) -> Column:
 
 
 @query(f"""
-WITH p AS (SELECT *, {WORDS} FROM part), c AS (SELECT *, upper(left(a, 1)) || lower(substr(a, 2)) AS shown_a, upper(left(b, 1)) || lower(substr(b, 2)) AS shown_b FROM p)
-SELECT p_partkey, upper(CASE WHEN p_size % 2 = 0 THEN p_name ELSE b || ', ' || a END) AS boss_name, CASE WHEN p_size % 2 = 0 THEN shown_a || ' ' || upper(b) ELSE upper(b) || ' ' || shown_a END AS display_name,
-       CASE WHEN a = b THEN upper(a) ELSE shown_a END || ' ' || upper(b) AS shown FROM c""")
+WITH p AS (SELECT *, {WORDS}, p_partkey % 10 AS k FROM part), c AS (SELECT *, upper(left(a, 1)) || lower(substr(a, 2)) AS shown_a, upper(left(b, 1)) || lower(substr(b, 2)) AS shown_b FROM p)
+SELECT p_partkey, CASE WHEN k = 4 THEN upper(a || ' bin ' || b) WHEN k = 5 THEN upper(a || ' van ' || b) WHEN k = 6 THEN upper('tan ' || a || ' ' || b) WHEN k = 7 THEN upper('john tan ' || b) WHEN k = 8 THEN upper(b || ' amy ' || a)
+         WHEN k = 9 THEN CASE WHEN p_size % 2 = 0 THEN 'UNKNOWN' ELSE upper(a) END WHEN k IN (2, 3) OR p_size % 2 = 0 THEN upper(p_name) ELSE upper(b || ', ' || a) END AS boss_name,
+       CASE WHEN k = 4 THEN shown_a || ' bin ' || upper(b) WHEN k = 5 THEN shown_a || ' VAN ' || upper(b) WHEN k = 6 THEN 'TAN ' || shown_a || ' ' || shown_b WHEN k = 7 THEN 'John TAN ' || shown_b WHEN k = 8 THEN upper(b) || ' Amy ' || shown_a
+         WHEN k = 9 THEN CASE WHEN p_size % 2 = 0 THEN 'Unknown' ELSE shown_a END WHEN k IN (2, 3) OR p_size % 2 = 0 THEN shown_a || ' ' || upper(b) ELSE upper(b) || ' ' || shown_a END AS display_name,
+       CASE WHEN k = 4 THEN shown_a || ' ' || shown_b ELSE CASE WHEN a = b THEN upper(a) ELSE shown_a END || ' ' || upper(b) END AS shown FROM c""")
 def name_normaliser(spark: SparkSession, sf: str) -> DataFrame:
-    name = F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise(joined(word(1), ", ", word(0)))
-    return table(spark, sf, "part").select("p_partkey", *fields(NM.normalise(name, ("JOHN", "AMY")), "boss_name", "display_name"), NM.with_surname(F.col("p_name"), word(1)).alias("shown"))
+    """Parts' names by every rule: plain, turned round, with an initial, in brackets, a father's name, a particle, known surnames and given names, one word, none; surnames that the name doesn't hold."""
+    k, a, b, name = F.col("p_partkey") % 10, word(0), word(1), F.col("p_name")
+    plain = F.when(F.col("p_size") % 2 == 0, name).otherwise(joined(b, ", ", a))
+    forms = [plain, plain, joined(a, " q. ", b), joined(name, " (visiting)"), joined(a, " bin ", b), joined(a, " van ", b), joined("tan ", a, " ", b), joined("john tan ", b), joined(b, " amy ", a), F.when(F.col("p_size") % 2 == 1, a)]
+    whole = F.get(F.array(*forms), k.cast("int"))
+    surname = F.when(k == 4, "zz").otherwise(b)
+    return table(spark, sf, "part").select("p_partkey", *fields(NM.normalise(whole, ("JOHN", "AMY")), "boss_name", "display_name"), NM.with_surname(name, surname).alias("shown"))
 
 
 @query(f"""

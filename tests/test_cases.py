@@ -148,3 +148,13 @@ def test_cases(spark, name):
     got = rows.select("case_no", *[c.alias(k) for k, c in f(**{c: F.col(c) for c in inputs}).items()]).orderBy("case_no").collect()
     for i, r in enumerate(got):
         assert {k: r[k] for k in outputs} == {k: v[i % len(v)] for k, (_, v) in outputs.items()}
+
+
+def test_names_by_every_rule(spark, sf_dir):
+    """The query on parts' names meets a father's name, a particle, known names, brackets and no name, not only the plain rules."""
+    from seatloom.plans import catalog
+
+    r = {x.p_partkey: x for x in catalog.QUERIES["name_normaliser"](spark, sf_dir).collect()}
+    shown = lambda k: [x.display_name for key, x in r.items() if key % 10 == k]
+    assert all(" bin " in d for d in shown(4)) and all(" VAN " in d for d in shown(5)) and all(d.startswith("TAN ") for d in shown(6))
+    assert all(d.startswith("John TAN ") for d in shown(7)) and all(" Amy " in d for d in shown(8)) and "Unknown" in shown(9) and len(r) == spark.read.parquet(f"{sf_dir}/part.parquet").count()
