@@ -54,7 +54,7 @@ def term_inference(spark: SparkSession, sf: str) -> DataFrame:
     q, years = F.col("q"), joined(F.col("y"), "-", F.col("yy"))
     text = F.when(q == 1, joined(years, "  Term 1 ")).when(q == 2, joined(years, " January Term")).when(q == 3, joined(years, " Term 3")).otherwise(F.col("o_orderpriority"))
     folder = joined(years, "_T3", F.when(F.col("o_orderstatus") == "F", "A").when(F.col("o_orderstatus") == "O", "B").otherwise(""))
-    return terms(spark, sf).select("o_orderkey", *fields(T.parse_term(text, folder), "year_start", "year_end", "term", "acad_term_id"))
+    return terms(spark, sf).select("o_orderkey", T.parse_term(text, folder).alias("t")).select("o_orderkey", "t.year_start", "t.year_end", "t.term", "t.acad_term_id")
 
 
 @query("""

@@ -158,3 +158,11 @@ def test_names_by_every_rule(spark, sf_dir):
     shown = lambda k: [x.display_name for key, x in r.items() if key % 10 == k]
     assert all(" bin " in d for d in shown(4)) and all(" VAN " in d for d in shown(5)) and all(d.startswith("TAN ") for d in shown(6))
     assert all(d.startswith("John TAN ") for d in shown(7)) and all(" Amy " in d for d in shown(8)) and "Unknown" in shown(9) and len(r) == spark.read.parquet(f"{sf_dir}/part.parquet").count()
+
+
+def test_terms_are_worked_out_once(spark, sf_dir):
+    """A text is repaired once a row, not once for each of the fields that are read from it."""
+    from seatloom.plans import catalog
+
+    plan = catalog.QUERIES["term_inference"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction(") <= 6 and plan.count("regexp_replace(") == 1
