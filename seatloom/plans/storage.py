@@ -52,9 +52,7 @@ def arrived_orders(spark: SparkSession, sf: str) -> DataFrame:
     for part in ("o_orderstatus <> 'P'", "o_orderstatus = 'P'", "false"):
         o.filter(part).write.mode("append").parquet(folder)
         take()
-    rows = arrivals.latest(spark, target, "orders", ["o_orderkey"])
-    number = Versions(spark, target).read("orders").groupBy("o_orderkey").agg(F.max("_version").alias("version"))
-    return rows.join(number, "o_orderkey").select("o_orderkey", "o_totalprice", "version")
+    return arrivals.latest(spark, target, "orders", ["o_orderkey"], number="version").select("o_orderkey", "o_totalprice", "version")
 
 
 @query("""

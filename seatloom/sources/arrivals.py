@@ -46,9 +46,10 @@ def take(
     return added
 
 
-def latest(spark: SparkSession, target: str, table: str, keys: list[str], order: list[str] | None = None) -> DataFrame | None:
-    """Of each key the row that came last: of the newest version, then by ``order``, the largest; None before the first run."""
+def latest(spark: SparkSession, target: str, table: str, keys: list[str], order: list[str] | None = None, number: str | None = None) -> DataFrame | None:
+    """Of each key the row that came last: of the newest version, then by ``order``, the largest; None before the first run. ``number``: a column for its version."""
     rows = Versions(spark, target).read(table)
     if rows is None:
         return None
-    return op.first_per_key(rows, keys, [F.desc("_version"), *[F.desc(c) for c in order or []]]).drop("_version", "_kind")
+    found = op.first_per_key(rows, keys, [F.desc("_version"), *[F.desc(c) for c in order or []]]).drop("_kind")
+    return found.withColumnRenamed("_version", number) if number else found.drop("_version")
