@@ -145,3 +145,18 @@ def test_runs(spark):
     got = scans.runs(df, ["k"], ["at"], F.col("up"), "run", 9).select("k", "at", "run").collect()
     assert sorted(tuple(r) for r in got) == sorted(want)
     assert scans.runs(df.limit(0), [], ["at"], F.col("up"), "run").count() == 0
+
+
+def test_tasks_of_scans_stay_small(spark, monkeypatch):
+    """Ranges grow in number and not in size with the rows, also of one hot group; a largest struct of many equal first fields is right."""
+    monkeypatch.setattr(scans, "ROWS", 100)
+    rows = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id"), (F.col("id") % 7).alias("v"), F.when(F.col("id") > 900, F.col("id") % 2).alias("h"))
+    found = scans.running(rows, ["k"], ["id"], {"n": ("sum", F.lit(1)), "top": ("max", F.struct("h", "v", "id")), "low": ("min", F.struct("v", "h"))})
+    assert found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 500
+    best, low = None, None
+    key = lambda t: tuple((x is not None, x or 0) for x in t)
+    for r in found.orderBy("id").collect():
+        assert (r.n or 0) == r.id and (tuple(r.top) if r.top else None) == best and (tuple(r.low) if r.low else None) == low
+        mine, least = (r.h, r.v, r.id), (r.v, r.h)
+        best = mine if best is None or key(mine) > key(best) else best
+        low = least if low is None or key(least) < key(low) else low
