@@ -160,3 +160,14 @@ def test_tasks_of_scans_stay_small(spark, monkeypatch):
         mine, least = (r.h, r.v, r.id), (r.v, r.h)
         best = mine if best is None or key(mine) > key(best) else best
         low = least if low is None or key(least) < key(low) else low
+
+
+def test_scans_carry_no_order(spark, tmp_path, monkeypatch):
+    """An order that is an expression is in no written table, and gives what a column of it gives."""
+    written, keep = [], scans.materialise
+    monkeypatch.setattr(scans, "materialise", lambda df, name, **k: written.append(df.columns) or keep(df, name, **k))
+    df = spark.range(300).select((F.col("id") % 2).alias("k"), "id", (F.col("id") % 5).alias("v"))
+    order = F.md5(F.col("id").cast("string"))
+    got = scans.running(df, ["k"], [order, "id"], {"s": ("sum", F.col("v"))}, ranges=4)
+    want = df.withColumn("s", F.sum("v").over(Window.partitionBy("k").orderBy(order, "id").rowsBetween(Window.unboundedPreceding, -1)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and written[0] == ["k", "id", "v", "_range"]
