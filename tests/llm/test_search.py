@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from seatloom.llm import bm25, decontaminate, language_id, topk_search, url_filter
+from seatloom.llm import bm25, decontaminate, language_id, many_search, topk_search, url_filter
 
 LOW = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -118,6 +118,50 @@ def test_pruning_saves_postings(real):
     assert search.scored < 0.5 * search.asked
 
 
+def random_index(rng, n, words):
+    """Two shards of documents with copies, ties and a null id, and what each of many queries asks for."""
+    texts = [[b"w%d" % i for i in (rng.zipf(1.3, int(rng.integers(1, 60))) % words)] for _ in range(n)]
+    texts += texts[: n // 4]
+    shards = []
+    for half in (range(0, len(texts), 2), range(1, len(texts), 2)):
+        builder = topk_search.ShardBuilder()
+        for i in half:
+            builder.add(None if i == 3 else 1000 - i, texts[i])
+        shard = builder.batch(0)
+        kinds = (("docs", np.int32), ("tfs", np.int32), ("ids", np.int64), ("lengths", np.int32), ("forward", np.int32))
+        shards.append((shard.column("terms")[0].as_py(), shard.column("sizes")[0].values.to_numpy(), *(np.frombuffer(shard.column(c)[0].as_py(), kind) for c, kind in kinds)))
+    df = Counter(t for w in texts for t in set(w))
+    weight = dict(zip(df, bm25.idf(len(texts), list(df.values())).tolist(), strict=True)) | {b"w1": 0}
+    asked = [(i, t, weight[t]) for i in range(0, n, 2) for t in dict.fromkeys(texts[i])] + [(n + 1, b"w1", 0), (n + 2, b"w2", weight[b"w2"])]
+    return shards, pa.table(dict(zip(("query_id", "term", "weight"), (pa.array(c) for c in zip(*asked, strict=True)), strict=True)))
+
+
+def test_many_queries_are_searched_together(monkeypatch):
+    """Products over groups of queries and documents give what each query gives by itself, without a pass over the postings for each query."""
+    rng, calls, top_k = np.random.default_rng(5), [], bm25.Searcher.top_k
+    monkeypatch.setattr(bm25.Searcher, "top_k", lambda self, *a: calls.append(1) or top_k(self, *a))
+    for n, words, limits in ((300, 50, {}), (300, 4000, {"CHUNK": 64, "GROUP": 16, "POSTS": 50, "PAIRS": 3}), (500, 400, {"CHUNK": 128, "HOT": 20}), (500, 400, {"HOT": 0})):
+        for name, value in limits.items():
+            monkeypatch.setattr(many_search, name, value)
+        shards, table = random_index(rng, n, words)
+        block, found = topk_search.Block(table), []
+        for cut in ({}, {"many": 1 << 40}):
+            search = topk_search.BlockSearch(block, 30.0, 10, **cut)
+            calls.clear()
+            for shard in shards:
+                search.add(*shard)
+            found.append((search.batch().to_pydict(), len(calls)))
+        assert found[0][0] == found[1][0]
+        assert found[0][1] < 0.2 * found[1][1]
+
+
+def test_topk_many_queries(spark, real):
+    rows = [(r.doc_id, r.text) for r in real.collect()][:120]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in topk_search.search(docs, F.lit(True), shard_terms=20_000).collect()}
+    assert got == brute_topk(rows, lambda d: True)
+
+
 def brute_leaks(docs, items):
     """By the definition: five-word shingles of an item, its question or its answer of which 0.8 stand in the document."""
     grams = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
