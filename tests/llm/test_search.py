@@ -155,6 +155,43 @@ def test_many_queries_are_searched_together(monkeypatch):
         assert found[0][1] < 0.2 * found[1][1]
 
 
+def test_memory_of_a_shard_is_small():
+    """A block is held as bytes, not as Python's words, and a shard is searched without copies of all its postings in doubles."""
+    import tracemalloc
+
+    rng, builder = np.random.default_rng(7), topk_search.ShardBuilder()
+    words = [b"w%d" % i for i in range(60_000)]
+    for i in range(4000):
+        builder.add(i, [words[j] for j in rng.integers(0, len(words), 200)])
+    shard = builder.batch(0)
+    kinds = (("docs", np.int32), ("tfs", np.int32), ("ids", np.int64), ("lengths", np.int32), ("forward", np.int32))
+    blobs = [np.frombuffer(shard.column(c)[0].as_py(), kind) for c, kind in kinds]
+    terms, sizes = shard.column("terms")[0].values, shard.column("sizes")[0].values.to_numpy()
+    asked = [(q, w, 1000 + q) for q in range(128) for w in words[q::1000]]
+    table = pa.table(dict(zip(("query_id", "term", "weight"), (pa.array(c) for c in zip(*asked, strict=True)), strict=True)))
+    tracemalloc.start()
+    block = topk_search.Block(table)
+    held = tracemalloc.get_traced_memory()[0]
+    search = topk_search.BlockSearch(block, 200.0, 10)
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    search.add(terms, sizes, *blobs)
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    postings = len(blobs[0])
+    assert held < 25 * len(asked) and most < 35 * postings
+
+
+def test_blocks_of_queries_come_one_by_one(spark, real, monkeypatch):
+    """A block is made when the result of the one before is written."""
+    told, block, write = [], topk_search.Block.__init__, topk_search.materialise
+    monkeypatch.setattr(topk_search.Block, "__init__", lambda self, rows: told.append("block") or block(self, rows))
+    monkeypatch.setattr(topk_search, "materialise", lambda df, name: told.append("found") or write(df, name) if name.startswith("found") else write(df, name))
+    topk_search.search(real.limit(40), F.lit(True), bucket=10)
+    assert len(told) > 4 and told == ["block", "found"] * (len(told) // 2)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
 def test_topk_many_queries(spark, real):
     rows = [(r.doc_id, r.text) for r in real.collect()][:120]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
