@@ -97,3 +97,20 @@ def test_blocks_of_scores():
     many, began = [" ".join(rng.choice(SYLLABLES) + rng.choice(SYLLABLES) for _ in range(3)) for _ in range(2000)], time.monotonic()
     assert sum(len(p[0]) for p in similar._alike_in_block(many[:1000], many[1000:], 85)) > 0
     assert time.monotonic() - began < 40  # one by one they take minutes
+
+
+def test_few_pairs_are_scored(monkeypatch):
+    """Nearly all pairs are dropped by a block's bits, a few hundred names at once, and a name's best is that of all pairs."""
+    rng, scored, scores = random.Random(9), [], similar._scores
+    monkeypatch.setattr(similar, "_scores", lambda a, b, i, *rest, **more: scored.append(len(i)) or scores(a, b, i, *rest, **more))
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randrange(3, 9)))
+    known = [f"{word()} {word()} {word()}" for _ in range(900)] + [f"{word()} " * 9 for _ in range(20)] + ["x" * 70, "\u00a0"]
+    asked = changed(known[:120], 3) + [f"{word()} {word()}" for _ in range(120)] + [known[0][:9], known[4].split()[1], "x" * 66, "\u00a0"]
+    i, j, score = similar._best_in_block(asked, known, 85)
+    want = {}
+    for x, a in enumerate(asked):
+        best = min((-NM.likeness(a, b), b) for b in known if b.strip()) if a.strip() else (0, "")
+        if best[0] <= -85:
+            want[x] = best
+    assert {x: (-s, known[y]) for x, y, s in zip(i.tolist(), j.tolist(), score.tolist(), strict=True)} == want
+    assert len(want) > 100 and sum(scored) < 0.02 * len(asked) * len(known)
