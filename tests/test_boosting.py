@@ -76,6 +76,27 @@ def test_ordered_statistics_use_earlier_rows_only(spark, rows):
             seen[(i, category)] = total + r.y, n + 1
 
 
+def test_ordered_statistics_deal_rows_once(spark, rows, monkeypatch):
+    """Rows aren't written or dealt once for each category; ranges of the order give what one range gives, whatever is kept beside."""
+    written, keep = [], boosting.materialise
+    monkeypatch.setattr(boosting, "materialise", lambda df, name, **k: (written.append((name, keep(df, name, **k))), written[-1][1])[1])
+    made = rows.withColumn("one", F.lit("same")).withColumn("own", F.col("id").cast("string"))
+    args = ["id", [F.md5(F.col("id").cast("string")), "id"], ["kind", "one", "own"], "y", 1.0, 2.0]
+    parts = boosting.ordered_statistics(made, *args, keep=("y", "c"), ranges=7)
+    got, whole = ({r.id: r for r in df.collect()} for df in (parts, boosting.ordered_statistics(made, *args, ranges=1)))
+    assert [df.count() for _, df in written] == [300, 300] and written[0][1].select("s_range").distinct().count() > 4
+    assert parts.columns == ["id", "y", "c", "stats"] and len(got) == 300
+    for r in rows.collect():
+        assert (got[r.id].y, got[r.id].c) == (r.y, r.c) and np.allclose(got[r.id].stats, whole[r.id].stats, rtol=1e-12) and got[r.id].stats[2] == 1.0
+
+
+def test_bins_as_bytes():
+    bins = np.random.default_rng(3).integers(0, 250, (50, 7), np.uint8)
+    column = boosting.packed(bins)
+    assert column.to_pylist() == [x.tobytes() for x in bins]
+    assert (boosting.unpacked(column[11:30], 7) == bins[11:30]).all() and boosting.unpacked(column[:0], 7).shape == (0, 7)
+
+
 def test_early_stopping_and_categories(spark, rows, tmp_path):
     rng = random.Random(1)
     worth = {f"g{i}": rng.gauss(0, 3) for i in range(20)}
